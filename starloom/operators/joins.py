@@ -26,6 +26,8 @@ def attribute_join(
     keep: Sequence[str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_MIN_ROWS,
+    hot_share: float | None = None,
+    measure: DataFrame | None = None,
 ) -> DataFrame:
     """Join on natural attributes, ``{left column: right column}``.
 
@@ -33,6 +35,7 @@ def attribute_join(
     left columns compared after a cast of both sides to the given type, which
     makes equality of floating-point attributes well defined. ``keep`` lists
     the right columns to return (all by default); names must not clash.
+    ``measure`` is an upper bound of ``right`` that is cheaper to size.
     """
     decimals = decimals or {}
     kept = list(right.columns if keep is None else keep)
@@ -48,10 +51,10 @@ def attribute_join(
     # a null key never matches, so it need not travel
     right = right.dropna(subset=right_keys)
 
-    right, small = size_checked(right, max_rows=broadcast_rows)
+    right, small = size_checked(right, right if measure is None else measure, broadcast_rows)
     condition = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     if not small:
-        hot = hot_keys(left.dropna(subset=left_keys), left_keys, min_rows=hot_rows)
+        hot = hot_keys(left.dropna(subset=left_keys), left_keys, hot_rows, hot_share)
         left, right = salt_sides(left, right, left_keys, right_keys, hot)
         right = right.withColumnRenamed("_salt", "_right_salt")
         condition.append(F.col("_salt") == F.col("_right_salt"))
@@ -68,6 +71,7 @@ def lookup_join(
     decimals: Mapping[str, str] | None = None,
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_MIN_ROWS,
+    hot_share: float | None = None,
 ) -> DataFrame:
     """Left join that returns every left row exactly once.
 
@@ -80,7 +84,7 @@ def lookup_join(
         *[c for c in dict.fromkeys([*keep, *pick]) if c not in on.values()],
     ).dropna(subset=list(on.values()))
     single = first_per_key(keyed, list(on.values()), list(pick))
-    return attribute_join(left, single, on, "left", decimals, keep, broadcast_rows, hot_rows)
+    return attribute_join(left, single, on, "left", decimals, keep, broadcast_rows, hot_rows, hot_share, measure=keyed)
 
 
 def enrich(

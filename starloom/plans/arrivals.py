@@ -26,7 +26,7 @@ from starloom.operators.joins import enrich, keep_if_valid
 from starloom.operators.projection import cast_columns, rename
 from starloom.operators.windows import count_previous
 from starloom.sources.readers import read_csv
-from starloom.sources.writers import write_parquet, write_partitions
+from starloom.sources.writers import load_dimension, write_parquet, write_partitions
 
 # Raw field names and the names they get here.
 FIELD_NAMES = {
@@ -201,9 +201,7 @@ def run(spark: SparkSession, raw: DataFrame, dims: Dimensions, out: str, tie: Se
     fact_path = f"{out}/immigration"
     write_partitions(enrich_arrivals(clean_arrivals(raw, tie), dims), fact_path, ["year", "month", "day"])
     fact = spark.read.parquet(fact_path)
-    write_parquet(dims.iso, f"{out}/country")
-    write_parquet(dims.states, f"{out}/state")
-    write_parquet(dims.gdp, f"{out}/gdp")
-    write_parquet(visa_types(fact), f"{out}/visa_type")
+    for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp, "visa_type": visa_types(fact)}.items():
+        load_dimension(dimension, f"{out}/{name}")
     write_parquet(ml_features(fact, dims.gdp), f"{out}/ml_data")
-    write_parquet(daily_counts(fact, dims.iso), f"{out}/immigration_stats")
+    write_parquet(daily_counts(fact, dims.iso), f"{out}/immigration_stats", compact=True)

@@ -229,8 +229,8 @@ def load(spark: SparkSession, log_path: str, song_path: str, out: str, match: st
     catalog = read_json(spark, song_path, SONG_SCHEMA)
     log = read_json(spark, log_path, LOG_SCHEMA)
     write_parquet(songs(catalog), f"{out}/songs", ["year"])
-    write_parquet(artists(catalog), f"{out}/artists")
-    write_parquet(users(log), f"{out}/users")
+    write_parquet(artists(catalog), f"{out}/artists", compact=True)
+    write_parquet(users(log), f"{out}/users", compact=True)
     write_parquet(time_dimension(plays(log), "start_time"), f"{out}/time", ["year", "month"])
     moment = epoch_timestamp("start_time")
     fact = build_fact(log, catalog, match).withColumns({"year": F.year(moment), "month": F.month(moment)})

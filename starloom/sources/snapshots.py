@@ -18,7 +18,7 @@ from starloom.sources.writers import read_target, write_parquet
 
 def committed(spark: SparkSession, path: str, before: int | None = None) -> int | None:
     """Number of the newest committed snapshot, or None."""
-    log = read_target(spark, f"{path}/commits")
+    log = read_target(spark, f"{path}/commits", "snapshot bigint")
     if log is None:
         return None
     if before is not None:

@@ -34,9 +34,17 @@ def write_parquet(
     codec: str = "snappy",
     mode: str = "overwrite",
     files: int | None = None,
+    compact: bool | None = None,
 ) -> None:
-    """Parquet output, rebalanced so that partitions hold few, evenly sized files."""
-    writer = balance(df, files, *([] if files else partition_by)).write.mode(mode).option("compression", codec)
+    """Parquet output.
+
+    Partitioned output is rebalanced, so that each partition gets few and
+    evenly sized files; other output is written as it lies, unless ``compact``
+    asks for the same (a small dimension then becomes a single file).
+    """
+    if files or (bool(partition_by) if compact is None else compact):
+        df = balance(df, files, *([] if files else partition_by))
+    writer = df.write.mode(mode).option("compression", codec)
     if partition_by:
         writer = writer.partitionBy(*partition_by)
     writer.parquet(path)
@@ -75,13 +83,17 @@ def append(df: DataFrame, path: str, blank_to_null: bool = False, partition_by:
 
 def load_dimension(df: DataFrame, path: str, truncate: bool = True) -> None:
     """Reload a dimension, or add to it when ``truncate`` is off."""
-    write_parquet(df, path, mode="overwrite" if truncate else "append")
+    write_parquet(df, path, mode="overwrite" if truncate else "append", compact=True)
 
 
-def read_target(spark: SparkSession, path: str) -> DataFrame | None:
-    """The table at ``path``, or None before its first write."""
+def read_target(spark: SparkSession, path: str, schema: T.StructType | str) -> DataFrame | None:
+    """The table at ``path``, or None before its first write.
+
+    A given schema spares the look into file footers, and keeps the types of
+    partition columns, which would otherwise be guessed from folder names.
+    """
     try:
-        return spark.read.parquet(path)
+        return spark.read.schema(schema).parquet(path)
     except AnalysisException as error:
         if error.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
             return None
@@ -109,7 +121,7 @@ def append_new(batch: DataFrame, path: str, key: Sequence[str], partition_by: Se
     """
     spark = batch.sparkSession
     fresh = batch.dropDuplicates(list(key))
-    target = read_target(spark, path)
+    target = read_target(spark, path, batch.schema)
     if target is not None:
         known = _existing_keys(batch, target, key, partition_by)
         fresh = fresh.join(known.select(*key), list(key), "left_anti")
@@ -120,7 +132,7 @@ def append_unique(batch: DataFrame, path: str, key: Sequence[str], partition_by:
     """Append, refusing the whole batch when a key is not new."""
     repeated = batch.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
     clash = repeated.select(*key).limit(1).collect()
-    target = read_target(batch.sparkSession, path)
+    target = read_target(batch.sparkSession, path, batch.schema)
     if not clash and target is not None:
         known = _existing_keys(batch, target, key, partition_by)
         clash = batch.select(*key).join(known.select(*key), list(key), "left_semi").limit(1).collect()

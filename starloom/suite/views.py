@@ -12,13 +12,17 @@ place nulls, invalid codes and ties where the operators must handle them.
 
 from __future__ import annotations
 
+from functools import lru_cache
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from starloom.plans.arrivals import Dimensions
+from starloom.plans.arrivals import Dimensions, latest_gdp
 
 
+@lru_cache(maxsize=64)
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; its schema is looked up once per session."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
@@ -245,8 +249,6 @@ gdp AS (
 
 
 def dimensions(spark: SparkSession, sf_dir: str) -> Dimensions:
-    from starloom.plans.arrivals import latest_gdp
-
     nation, supplier = table(spark, sf_dir, "nation"), table(spark, sf_dir, "supplier")
     known = countries(spark, sf_dir)
     return Dimensions(
