@@ -27,49 +27,55 @@ class QualityError(RuntimeError):
 class Check:
     """A named measure of a table and the test its value must pass.
 
-    ``measure`` is an aggregate column, or a function from the table to a
-    one-row, one-column frame where an aggregate cannot express it.
+    ``measure`` makes an aggregate column. ``frame`` takes its place where an
+    aggregate cannot express the measure: it makes a one-row, one-column frame.
+    Both are built when the check runs, so checks can be declared up front.
     """
 
     name: str
-    measure: Column | Callable[[DataFrame], DataFrame]
     test: Callable[[Column], Column]
+    measure: Callable[[], Column] | None = None
+    frame: Callable[[DataFrame], DataFrame] | None = None
 
 
 def _none(value: Column) -> Column:
     return value == 0
 
 
+def _count_bad(name: str, bad: Callable[[], Column]) -> Check:
+    return Check(name, _none, lambda: F.count_if(bad()))
+
+
 def not_empty() -> Check:
-    return Check("not_empty", F.count("*"), lambda v: v > 0)
+    return Check("not_empty", lambda v: v > 0, lambda: F.count("*"))
 
 
 def no_nulls(column: str) -> Check:
-    return Check(f"no_nulls({column})", F.count_if(F.col(column).isNull()), _none)
+    return _count_bad(f"no_nulls({column})", lambda: F.col(column).isNull())
 
 
 def in_set(column: str, values: Sequence[object]) -> Check:
-    return Check(f"in_set({column})", F.count_if(~F.col(column).isin(list(values))), _none)
+    return _count_bad(f"in_set({column})", lambda: ~F.col(column).isin(list(values)))
 
 
 def in_range(column: str, low: float, high: float) -> Check:
-    return Check(f"in_range({column})", F.count_if(~F.col(column).between(low, high)), _none)
+    return _count_bad(f"in_range({column})", lambda: ~F.col(column).between(low, high))
 
 
 def lowest(column: str, test: Callable[[Column], Column]) -> Check:
-    return Check(f"min({column})", F.min(column), test)
+    return Check(f"min({column})", test, lambda: F.min(column))
 
 
 def highest(column: str, test: Callable[[Column], Column]) -> Check:
-    return Check(f"max({column})", F.max(column), test)
+    return Check(f"max({column})", test, lambda: F.max(column))
 
 
 def lossy_cast(column: str, kind: str) -> Check:
-    return Check(f"lossy_cast({column})", F.count_if(F.col(column).try_cast(kind) != F.col(column)), _none)
+    return _count_bad(f"lossy_cast({column})", lambda: F.col(column).try_cast(kind) != F.col(column))
 
 
 def max_length(column: str, n: int) -> Check:
-    return Check(f"max_length({column})", F.count_if(F.length(column) > n), _none)
+    return _count_bad(f"max_length({column})", lambda: F.length(column) > n)
 
 
 def unique(*key: str) -> Check:
@@ -77,7 +83,7 @@ def unique(*key: str) -> Check:
         per_key = df.groupBy(*key).agg(F.count("*").alias("n"))
         return per_key.agg(F.coalesce(F.sum(F.col("n") - 1), F.lit(0)).alias("value"))
 
-    return Check(f"unique({','.join(key)})", surplus, _none)
+    return Check(f"unique({','.join(key)})", _none, frame=surplus)
 
 
 def references(column: str, parent: DataFrame, parent_key: str) -> Check:
@@ -87,7 +93,7 @@ def references(column: str, parent: DataFrame, parent_key: str) -> Check:
         missing = keys.join(known, F.col("_fk") == F.col("_pk"), "left_anti")
         return missing.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("value"))
 
-    return Check(f"references({column})", orphans, _none)
+    return Check(f"references({column})", _none, frame=orphans)
 
 
 def _report_row(table: str, frame: DataFrame, checks: Sequence[tuple[Check, str]]) -> DataFrame:
@@ -107,13 +113,12 @@ def run_checks(tables: Mapping[str, tuple[DataFrame, Sequence[Check]]]) -> DataF
     """One row per check: table, check, value, passed."""
     reports = []
     for table, (df, checks) in tables.items():
-        simple = [c for c in checks if isinstance(c.measure, Column)]
+        simple = [(c, f"v{i}") for i, c in enumerate(checks) if c.measure]
         if simple:
-            named = [(c, f"v{i}") for i, c in enumerate(simple)]
-            reports.append(_report_row(table, df.agg(*[c.measure.alias(n) for c, n in named]), named))
+            reports.append(_report_row(table, df.agg(*[c.measure().alias(n) for c, n in simple]), simple))
         for check in checks:
-            if not isinstance(check.measure, Column):
-                reports.append(_report_row(table, check.measure(df).toDF("value"), [(check, "value")]))
+            if check.frame:
+                reports.append(_report_row(table, check.frame(df).toDF("value"), [(check, "value")]))
     return reduce(DataFrame.unionByName, reports)
 
 

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import and_, or_
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
@@ -10,7 +12,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from starloom.scale import size_checked
+# Partitions that may be named one by one in a filter.
+PRUNED_PARTITIONS = 500
 
 
 class DuplicateKeyError(ValueError):
@@ -103,14 +106,17 @@ def read_target(spark: SparkSession, path: str, schema: T.StructType | str) -> D
 def _existing_keys(batch: DataFrame, target: DataFrame, key: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
     """Target keys that the batch could collide with.
 
-    Where the target is partitioned by batch columns, the batch's partitions
-    prune the scan, so an hourly load does not read years of history.
+    Where the target is partitioned, the batch's partitions become a literal
+    filter, so an hourly load lists and reads its own days and not the history.
+    A batch that touches more than ``PRUNED_PARTITIONS`` reads all keys.
     """
     keys = target.select(*dict.fromkeys([*key, *partition_by]))
-    if not partition_by:
-        return keys
-    touched, _ = size_checked(batch.select(*partition_by).distinct())
-    return keys.join(touched, list(partition_by), "left_semi")
+    if partition_by:
+        touched = batch.select(*partition_by).distinct().limit(PRUNED_PARTITIONS + 1).collect()
+        if len(touched) <= PRUNED_PARTITIONS:
+            hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()]) for row in touched]
+            keys = keys.where(reduce(or_, hits, F.lit(False)))
+    return keys
 
 
 def append_new(batch: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:

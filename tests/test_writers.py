@@ -66,7 +66,9 @@ def test_append_new_reads_only_touched_partitions(spark, tmp_path):
     writers.append_new(batch, path, ["k"], ["p"])
     target = writers.read_target(spark, path, batch.schema)
     known = writers._existing_keys(batch.where("p = 1"), target, ["k"], ["p"])
-    assert "dynamicpruning" in known._jdf.queryExecution().executedPlan().toString()
+    assert rows(known) == [("a", 1)]
+    scan = known._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [(p#" in scan and "<=> 1)" in scan
 
 
 def test_append_unique_refuses(spark, tmp_path):
