@@ -13,27 +13,34 @@ from pyspark.sql import functions as F
 
 
 def _extreme(df: DataFrame, key: Sequence[str], order: Sequence[str | Column], pick) -> DataFrame:
+    """The whole row that ``pick`` (max or min) finds per key, compared by ``order``.
+
+    One struct holds the order and then the other columns, so rows that tie on
+    the order are told apart by their content and the choice always repeats.
+    """
     rest = [c for c in df.columns if c not in key]
     if not rest:
         return df.select(*key).distinct()
-    order_by = F.struct(*order)
-    winner = df.groupBy(*key).agg(pick(F.struct(*rest), order_by).alias("_row"))
+    named = [o for o in order if isinstance(o, str) and o in rest]
+    lead = [F.col(o) if o in named else (F.col(o) if isinstance(o, str) else o).alias(f"_o{i}") for i, o in enumerate(order)]
+    tail = [F.col(c) for c in rest if c not in named]
+    winner = df.groupBy(*key).agg(pick(F.struct(*lead, *tail)).alias("_row"))
     return winner.select(*[F.col(c) if c in key else F.col("_row")[c].alias(c) for c in df.columns])
 
 
 def latest_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """Last write wins: the whole row that is greatest by ``order``, per key."""
-    return _extreme(df, key, order, F.max_by)
+    return _extreme(df, key, order, F.max)
 
 
 def first_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column]) -> DataFrame:
     """First write wins: later rows of a key are ignored."""
-    return _extreme(df, key, order, F.min_by)
+    return _extreme(df, key, order, F.min)
 
 
 def one_per_key(df: DataFrame, key: Sequence[str], order: Sequence[str | Column] | None = None) -> DataFrame:
     """One row per key; with no order given, all columns decide, so the pick repeats."""
-    return first_per_key(df, key, order or [c for c in df.columns if c not in key] or key)
+    return first_per_key(df, key, order or [])
 
 
 def top_n_per_key(df: DataFrame, key: Sequence[str], order: Sequence[Column], n: int = 1) -> DataFrame:

@@ -3,7 +3,8 @@
 Skew policy. A side measured small is broadcast, so the big side never
 shuffles. Otherwise both sides shuffle, and keys found to be heavy are salted.
 Plain dimension joins carry no hint: the optimizer broadcasts by file size, and
-adaptive execution splits hot partitions of the sort-merge join beyond that.
+adaptive execution splits hot partitions of the sort-merge join beyond that. A
+derived dimension gets a known size from :func:`starloom.scale.stored`.
 """
 
 from __future__ import annotations
@@ -27,6 +28,7 @@ def attribute_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_MIN_ROWS,
     hot_share: float | None = None,
+    hot: Sequence[int] | None = None,
     measure: DataFrame | None = None,
 ) -> DataFrame:
     """Join on natural attributes, ``{left column: right column}``.
@@ -35,7 +37,8 @@ def attribute_join(
     left columns compared after a cast of both sides to the given type, which
     makes equality of floating-point attributes well defined. ``keep`` lists
     the right columns to return (all by default); names must not clash.
-    ``measure`` is an upper bound of ``right`` that is cheaper to size.
+    ``measure`` is an upper bound of ``right`` that is cheaper to size. Heavy
+    keys are looked for unless their hashes are given as ``hot``.
     """
     decimals = decimals or {}
     kept = list(right.columns if keep is None else keep)
@@ -54,7 +57,8 @@ def attribute_join(
     right, small = size_checked(right, right if measure is None else measure, broadcast_rows)
     condition = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
     if not small:
-        hot = hot_keys(left.dropna(subset=left_keys), left_keys, hot_rows, hot_share)
+        if hot is None:
+            hot = hot_keys(left.dropna(subset=left_keys), left_keys, hot_rows, hot_share)
         left, right = salt_sides(left, right, left_keys, right_keys, hot)
         right = right.withColumnRenamed("_salt", "_right_salt")
         condition.append(F.col("_salt") == F.col("_right_salt"))
@@ -72,6 +76,7 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_MIN_ROWS,
     hot_share: float | None = None,
+    hot: Sequence[int] | None = None,
 ) -> DataFrame:
     """Left join that returns every left row exactly once.
 
@@ -84,7 +89,7 @@ def lookup_join(
         *[c for c in dict.fromkeys([*keep, *pick]) if c not in on.values()],
     ).dropna(subset=list(on.values()))
     single = first_per_key(keyed, list(on.values()), list(pick))
-    return attribute_join(left, single, on, "left", decimals, keep, broadcast_rows, hot_rows, hot_share, measure=keyed)
+    return attribute_join(left, single, on, "left", decimals, keep, broadcast_rows, hot_rows, hot_share, hot, keyed)
 
 
 def enrich(

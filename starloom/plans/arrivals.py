@@ -192,16 +192,25 @@ def daily_counts(fact: DataFrame, countries: DataFrame, code: str = "country_cit
     return joined.groupBy(label, *days).agg(F.sum("n").alias("count"))
 
 
-def run(spark: SparkSession, raw: DataFrame, dims: Dimensions, out: str, tie: Sequence[str] = ()) -> None:
+def run(
+    spark: SparkSession,
+    raw: DataFrame,
+    dims: Dimensions,
+    out: str,
+    tie: Sequence[str] = (),
+    partition_by: Sequence[str] = ("year", "month", "day"),
+) -> None:
     """Raw records to the fact, its dimensions and the feature table.
 
+    With partitions by day, a daily run replaces its own day only.
+
     The fact is written once; the outputs derived from it read the columns they
     need back from storage instead of repeating the joins and the window.
     """
     fact_path = f"{out}/immigration"
-    write_partitions(enrich_arrivals(clean_arrivals(raw, tie), dims), fact_path, ["year", "month", "day"])
+    write_partitions(enrich_arrivals(clean_arrivals(raw, tie), dims), fact_path, partition_by)
     fact = spark.read.parquet(fact_path)
     for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp, "visa_type": visa_types(fact)}.items():
         load_dimension(dimension, f"{out}/{name}")
-    write_parquet(ml_features(fact, dims.gdp), f"{out}/ml_data")
+    write_parquet(ml_features(fact, spark.read.parquet(f"{out}/gdp")), f"{out}/ml_data")
     write_parquet(daily_counts(fact, dims.iso), f"{out}/immigration_stats", compact=True)

@@ -3,7 +3,7 @@
 * :func:`size_checked` broadcasts a side only after measuring it.
 * :func:`hot_keys` finds heavy hitters in one pass with bounded memory.
 * :func:`salt_sides` spreads the heavy hitters of a join over many tasks.
-* :func:`stable` cuts lineage on the cluster's shared checkpoint folder.
+* :func:`stable` and :func:`stored` cut lineage in the cluster's shared folder.
 """
 
 from __future__ import annotations
@@ -116,6 +116,17 @@ def scratch(spark: SparkSession, name: str) -> str:
     return f"{shared_folder(spark).rstrip('/')}/starloom/{name}-{uuid.uuid4().hex}"
 
 
+def stored(df: DataFrame, name: str = "stored") -> DataFrame:
+    """Write a derived dimension once and read it back.
+
+    Its size is then known from its files, so a join with it is planned as a
+    broadcast exactly when it fits, and it is not derived again per use.
+    """
+    path = scratch(df.sparkSession, name)
+    df.hint("rebalance").write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def stable(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: survives executor loss and freezes generated ids."""
     context = df.sparkSession.sparkContext

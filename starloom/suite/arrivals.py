@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from starloom.operators.joins import enrich
 from starloom.operators.profile import days_with_rows, funnel, group_by_flag, total
 from starloom.plans import arrivals as plan
+from starloom.scale import scratch, stored
+from starloom.sources.readers import union_frames
 from starloom.suite.registry import query
 from starloom.suite.views import CLEAN_SQL, COUNTRIES_SQL, FACT_SQL, GDP_SQL, RAW_SQL, countries, dimensions, raw_arrivals
 
@@ -110,7 +112,7 @@ SELECT cicid, month, day, country_citizenship, c.gdp_value AS country_citizenshi
        r.gdp_value AS country_residence_gdp, age, gender, num_previous_stays, visa_type, destination_state, is_overstay
 FROM fact LEFT JOIN gdp c ON country_citizenship = c.country_code LEFT JOIN gdp r ON country_residence = r.country_code""")
 def ml_features(spark: SparkSession, sf_dir: str) -> DataFrame:
-    gdp = dimensions(spark, sf_dir).gdp
+    gdp = stored(dimensions(spark, sf_dir).gdp, "gdp")
     return plan.ml_features(_fact(spark, sf_dir), gdp, ["cicid", *plan.FEATURE_COLUMNS])
 
 
@@ -160,3 +162,23 @@ _STEPS = {
 ))
 def funnel_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return funnel(_typed(spark, sf_dir), {name: F.expr(rule) for name, rule in _STEPS.items()})
+
+
+@query(f"""{_FACT}, {_DAILY},{GDP_SQL}
+SELECT 'immigration' AS "table", count(*) AS n FROM fact
+UNION ALL SELECT 'visa_type', count(DISTINCT (visa_type, visa_category)) FROM fact
+UNION ALL SELECT 'ml_data', count(*) FROM fact
+UNION ALL SELECT 'immigration_stats', count(*) FROM daily
+UNION ALL SELECT 'country', count(*) FROM countries
+UNION ALL SELECT 'state', count(*) FROM nation
+UNION ALL SELECT 'gdp', count(*) FROM gdp""")
+def arrivals_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw records loaded to the fact, its dimensions and the derived tables, counted from storage."""
+    path = scratch(spark, "arrivals")
+    plan.run(spark, raw_arrivals(spark, sf_dir), dimensions(spark, sf_dir), path, ["cicid"], ["year", "month"])
+    names = ["immigration", "visa_type", "ml_data", "immigration_stats", "country", "state", "gdp"]
+    counts = [
+        spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
+        for name in names
+    ]
+    return union_frames(counts, ["table", "n"])

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from starloom.functions import (
     date_from_days,
+    epoch_seconds,
     flag_equals,
     hash_key,
     impute,
@@ -100,8 +101,6 @@ FROM (SELECT epoch_us(ts) // 1000000 AS start_time, make_timestamp(epoch_us(ts)
 
 
 def _event_seconds(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from starloom.functions import epoch_seconds
-
     ms = F.unix_millis(F.col("ts").cast("timestamp"))
     return table(spark, sf_dir, "events").select(epoch_seconds(ms).alias("seconds"))
 

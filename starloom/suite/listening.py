@@ -10,6 +10,8 @@ from starloom.operators.joins import unmatched_counts
 from starloom.operators.profile import group_count
 from starloom.operators.projection import lookup
 from starloom.plans import listening as plan
+from starloom.scale import scratch
+from starloom.sources.readers import union_frames
 from starloom.suite.registry import query
 from starloom.suite.views import CATALOG_SQL, PLAY_LOG_SQL, catalog, play_log, table
 
@@ -246,9 +248,37 @@ def query_by_song(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""{_LOG} SELECT song, userId FROM play_log WHERE artist IS NOT NULL AND song = 'blue bolt' GROUP BY ALL""")
 def query_table_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The song table written clustered, read back through a key lookup."""
-    from starloom.scale import scratch
-
     path = scratch(spark, "by-song")
     rows = _heard(spark, sf_dir, True)
     plan.write_query_table(plan.query_table(rows, ["song"], ["userId"], [], ["ts"]), path, ["song"], ["userId"])
     return lookup(spark.read.parquet(path), song="blue bolt")
+
+
+@query(f"{_BOTH},{_SINGLE} SELECT {_FACT} FROM plays {_LOOKUP_JOIN}")
+def songplay_lookup_salted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As ``songplay_lookup``, by the shuffle join for catalogs beyond the broadcast bound, popular songs salted."""
+    log, songs = play_log(spark, sf_dir, with_user=True), catalog(spark, sf_dir)
+    return plan.build_fact(log, songs, "lookup", broadcast_rows=0, hot_rows=1, hot_share=0.001)
+
+
+@query(f"""{_BOTH}, moments AS (SELECT DISTINCT start_time FROM plays)
+SELECT 'songplays' AS "table", count(*) AS n, count(song_id) AS n_matched FROM (
+  SELECT song_id FROM plays LEFT JOIN (SELECT DISTINCT title, artist_name, duration, 'x' AS song_id FROM catalog)
+  ON song = title AND artist = artist_name AND length = duration)
+UNION ALL SELECT 'songs', count(*), count(*) FROM catalog
+UNION ALL SELECT 'artists', count(DISTINCT artist_id), count(DISTINCT artist_id) FROM catalog
+UNION ALL SELECT 'users', count(DISTINCT userId), count(DISTINCT userId) FROM plays
+UNION ALL SELECT 'time', count(*), count(*) FROM moments""")
+def listening_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Log and catalog as raw JSON, loaded to the five tables and counted from storage."""
+    path = scratch(spark, "listening")
+    play_log(spark, sf_dir, with_user=True).write.json(f"{path}/log")
+    catalog(spark, sf_dir).write.json(f"{path}/songs")
+    plan.load(spark, f"{path}/log", f"{path}/songs", f"{path}/out")
+    keys = {"songplays": "song_id", "songs": "song_id", "artists": "artist_id", "users": "user_id", "time": "start_time"}
+    counts = [
+        spark.read.parquet(f"{path}/out/{name}").agg(F.count("*").alias("n"), F.count(key).alias("n_matched"))
+        .select(F.lit(name).alias("table"), "n", "n_matched")
+        for name, key in keys.items()
+    ]
+    return union_frames(counts, ["table", "n", "n_matched"])

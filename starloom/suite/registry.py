@@ -7,7 +7,7 @@ from functools import wraps
 
 from pyspark.sql import DataFrame, SparkSession
 
-from starloom.session import configure
+from starloom.session import configure, size_shuffles
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -21,7 +21,7 @@ def query(sql: str | None = None) -> Callable[[Query], Query]:
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return fn(configure(spark), sf_dir)
+            return fn(size_shuffles(configure(spark), sf_dir), sf_dir)
 
         _QUERIES[fn.__name__] = run
         if sql is not None:
