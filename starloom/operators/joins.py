@@ -18,6 +18,15 @@ from starloom.operators.dedup import first_per_key
 from starloom.scale import BROADCAST_ROWS, HOT_MIN_ROWS, hot_keys, salt_sides, size_checked
 
 
+def _common_type(left: DataFrame, l_name: str, right: DataFrame, r_name: str) -> str:
+    """The type both columns are compared in; equal keys must hash alike on both sides."""
+    a, b = (df.schema[name].dataType.simpleString() for df, name in ((left, l_name), (right, r_name)))
+    if a == b:
+        return a
+    both = left.sparkSession.sql(f"SELECT coalesce(CAST(NULL AS {a}), CAST(NULL AS {b})) AS c")
+    return both.dtypes[0][1]
+
+
 def attribute_join(
     left: DataFrame,
     right: DataFrame,
@@ -28,7 +37,7 @@ def attribute_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_MIN_ROWS,
     hot_share: float | None = None,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | None = None,
     measure: DataFrame | None = None,
 ) -> DataFrame:
     """Join on natural attributes, ``{left column: right column}``.
@@ -38,21 +47,17 @@ def attribute_join(
     makes equality of floating-point attributes well defined. ``keep`` lists
     the right columns to return (all by default); names must not clash.
     ``measure`` is an upper bound of ``right`` that is cheaper to size. Heavy
-    keys are looked for unless their hashes are given as ``hot``.
+    keys are looked for unless ``hot`` names them (hash to number of parts).
     """
     decimals = decimals or {}
     kept = list(right.columns if keep is None else keep)
-    right_keys = [f"_k{i}" for i in range(len(on))]
-    left_keys = [f"_l{i}" for i in range(len(on))]
     left_cols = left.columns
-    for name, r_name, key, l_key in zip(on.keys(), on.values(), right_keys, left_keys):
-        kind = decimals.get(name)
-        l_col, r_col = F.col(name), F.col(r_name)
-        left = left.withColumn(l_key, l_col.cast(kind) if kind else l_col)
-        right = right.withColumn(key, r_col.cast(kind) if kind else r_col)
-    right = right.select(*kept, *right_keys)
-    # a null key never matches, so it need not travel
-    right = right.dropna(subset=right_keys)
+    left_keys = [f"_l{i}" for i in range(len(on))]
+    right_keys = [f"_k{i}" for i in range(len(on))]
+
+    kinds = [decimals.get(name) or _common_type(left, name, right, r_name) for name, r_name in on.items()]
+    left = left.withColumns({key: F.col(name).cast(kind) for key, name, kind in zip(left_keys, on, kinds)})
+    right = right.select(*kept, *[F.col(r).cast(kind).alias(key) for key, r, kind in zip(right_keys, on.values(), kinds)])
 
     right, small = size_checked(right, right if measure is None else measure, broadcast_rows)
     condition = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
@@ -76,7 +81,7 @@ def lookup_join(
     broadcast_rows: int = BROADCAST_ROWS,
     hot_rows: int = HOT_MIN_ROWS,
     hot_share: float | None = None,
-    hot: Sequence[int] | None = None,
+    hot: Mapping[int, int] | None = None,
 ) -> DataFrame:
     """Left join that returns every left row exactly once.
 
@@ -109,7 +114,7 @@ def enrich(
     side = dimension.select(
         F.col(dimension_key).alias("_key"),
         *[F.col(source).alias(f"_new_{target}") for source, target in columns.items()],
-    ).dropna(subset=["_key"])
+    )
     condition = (F.col(key) if isinstance(key, str) else key) == F.col("_key")
     joined = df.join(side, on=condition, how="inner" if required else "left")
     targets = list(columns.values())
@@ -119,7 +124,7 @@ def enrich(
 
 def keep_if_valid(df: DataFrame, column: str, dimension: DataFrame, dimension_key: str) -> DataFrame:
     """Null out values that the dimension does not know."""
-    valid = dimension.select(F.col(dimension_key).alias("_valid")).dropna()
+    valid = dimension.select(F.col(dimension_key).alias("_valid"))
     joined = df.join(valid, on=F.col(column) == F.col("_valid"), how="left")
     return joined.select(*[F.col("_valid").alias(c) if c == column else F.col(c) for c in df.columns])
 

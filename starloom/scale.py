@@ -8,9 +8,10 @@
 
 from __future__ import annotations
 
+import math
 import tempfile
 import uuid
-from collections.abc import Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from functools import reduce
 from operator import or_
 
@@ -21,7 +22,6 @@ BROADCAST_ROWS = 200_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_MIN_ROWS = 500_000
 MAX_HOT_KEYS = 4_096
-SALTS = 64
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
@@ -56,13 +56,14 @@ def hot_keys(
     cols: Sequence[Column | str],
     min_rows: int = HOT_MIN_ROWS,
     share: float | None = None,
-) -> list[int]:
-    """Hashes of keys that hold more rows than one shuffle partition's fair share.
-
-    One column-pruned pass with a frequent-items sketch: each task keeps a
-    bounded number of counters and a single row reaches the driver. At most
-    ``1 / share`` keys can qualify. The answer only routes rows between exact
-    code paths, so an estimate never changes a result.
+) -> dict[int, int]:
+    """Keys that hold more rows than one shuffle partition's fair share.
+
+    Maps the hash of a heavy key to the number of parts it should be cut into,
+    a power of two. One column-pruned pass with a frequent-items sketch: each
+    task keeps a bounded number of counters and a single row reaches the
+    driver. At most ``1 / share`` keys can qualify. The answer only routes rows
+    between exact code paths, so an estimate never changes a result.
     """
     if share is None:
         parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions", "200"))
@@ -74,35 +75,42 @@ def hot_keys(
         .agg(F.count("*").alias("n"), F.expr(f"approx_top_k(h, {k}, {tracked})").alias("top"))
         .first()
     )
-    floor = max(min_rows, share * row["n"])
-    return [item["item"] for item in (row["top"] or []) if item["count"] >= floor]
+    fair = max(min_rows, share * row["n"])
+    return {item["item"]: 2 << int(math.log2(item["count"] / fair)) for item in (row["top"] or []) if item["count"] >= fair}
+
+
+def is_hot(cols: Sequence[Column | str], hot: Iterable[int]) -> Column:
+    listed = list(hot)
+    return key_hash(cols).isin(listed) if listed else F.lit(False)
 
 
-def is_hot(cols: Sequence[Column | str], hot: Sequence[int]) -> Column:
-    return key_hash(cols).isin(list(hot)) if hot else F.lit(False)
+def _parts(cols: Sequence[str], hot: Mapping[int, int]) -> Column:
+    """Number of parts of a row's key, 1 for keys that are not hot."""
+    parts = F.lit(1)
+    for n in sorted(set(hot.values())):
+        parts = F.when(is_hot(cols, [h for h, size in hot.items() if size == n]), F.lit(n)).otherwise(parts)
+    return parts
 
 
 def salt_sides(
-    left: DataFrame,
-    right: DataFrame,
-    left_key: Sequence[str],
-    right_key: Sequence[str],
-    hot: Sequence[int],
-    salts: int = SALTS,
+    left: DataFrame, right: DataFrame, left_key: Sequence[str], right_key: Sequence[str], hot: Mapping[int, int]
 ) -> tuple[DataFrame, DataFrame]:
     """Add ``_salt`` to both sides: hot left rows spread, hot right rows repeat.
 
-    Left rows with a null in the key match nothing and spread as well, so that
-    an outer join does not gather them in one task. The salt mixes a hash of the row with the partition that holds it, so it is
-    the same on a task retry, and equal rows read by different tasks part ways.
+    A key gets as many salts as its size asks for, so all repeats together stay
+    in the order of the partition count per right row. Left rows with a null in
+    the key match nothing and spread as well, so that an outer join does not
+    gather them in one task. The salt mixes a hash of the row with the partition
+    that holds it: it is the same on a task retry, and equal rows read by
+    different tasks part ways.
     """
-    spread = F.pmod(F.xxhash64(*left.columns) + F.spark_partition_id(), F.lit(salts)).cast("int")
-    loose = reduce(or_, [F.col(c).isNull() for c in left_key], is_hot(left_key, hot))
-    left = left.withColumn("_salt", F.when(loose, spread).otherwise(F.lit(0)))
+    spread = F.xxhash64(*left.columns) + F.spark_partition_id()
+    absent = reduce(or_, [F.col(c).isNull() for c in left_key])
+    parts = F.when(absent, F.lit(MAX_HOT_KEYS)).otherwise(_parts(left_key, hot))
+    left = left.withColumn("_salt", F.pmod(spread, parts).cast("int"))
     if not hot:
         return left, right.withColumn("_salt", F.lit(0))
-    copies = F.when(is_hot(right_key, hot), F.sequence(F.lit(0), F.lit(salts - 1))).otherwise(F.array(F.lit(0)))
-    return left, right.withColumn("_salt", F.explode(copies))
+    return left, right.withColumn("_salt", F.explode(F.sequence(F.lit(0), _parts(right_key, hot) - 1)))
 
 
 def shared_folder(spark: SparkSession) -> str:

@@ -88,3 +88,10 @@ def test_keep_if_valid(spark):
 def test_unmatched_ignores_absent_keys(log, songs):
     assert rows(unmatched(log, songs, {"song": "title"}).select("id")) == [(3,)]
     assert rows(unmatched_counts(log, songs, {"song": "title"})) == [("b", 1)]
+
+
+@pytest.mark.parametrize("options", STRATEGIES)
+def test_keys_of_different_types_match(spark, options):
+    left = spark.createDataFrame([(i, i % 3) for i in range(30)], "id int, k int")
+    right = spark.createDataFrame([(0, "a"), (1, "b")], "rk bigint, v string")
+    assert attribute_join(left, right, {"k": "rk"}, **options).count() == 20
