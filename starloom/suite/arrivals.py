@@ -97,7 +97,7 @@ def daily_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _daily(spark, sf_dir)
 
 
-@query(f"{_FACT}, {_DAILY} SELECT country_code_iso_2, count(*) AS days FROM daily GROUP BY ALL")
+@query(f"{_FACT}, {_DAILY} SELECT country_code_iso_2, count(*) AS days FROM daily GROUP BY ALL", name="days_with_rows")
 def days_with_arrivals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return days_with_rows(_daily(spark, sf_dir), "country_code_iso_2")
 
@@ -123,7 +123,7 @@ def latest_gdp(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""{_CLEAN}
 SELECT departure_date IS NOT NULL OR entdepd IS NOT NULL AS did_depart, count(*) AS n FROM clean
-WHERE dates_match_flag AND unrestricted_stay GROUP BY ALL""")
+WHERE dates_match_flag AND unrestricted_stay GROUP BY ALL""", name="group_by_flag")
 def departed_flag(spark: SparkSession, sf_dir: str) -> DataFrame:
     matching = _typed(spark, sf_dir).where("dates_match_flag AND unrestricted_stay")
     return group_by_flag(matching, F.col("departure_date").isNotNull() | F.col("entdepd").isNotNull(), "did_depart")

@@ -115,7 +115,7 @@ def time_dimension_all(spark: SparkSession, sf_dir: str) -> DataFrame:
     return time_dimension(_event_seconds(spark, sf_dir), "seconds", week_start="monday", distinct=False)
 
 
-@query(f"WITH {CLEAN_SQL} SELECT cicid, arrival_date::VARCHAR AS arrival, departure_date::VARCHAR AS departure FROM clean")
+@query(f"WITH {CLEAN_SQL} SELECT cicid, arrival_date::VARCHAR AS arrival, departure_date::VARCHAR AS departure FROM clean", name="date_from_days")
 def dates_from_days(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_arrivals(spark, sf_dir).select(
         "cicid",
@@ -140,13 +140,13 @@ def parse_date_sentinel(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT c_custkey, CASE WHEN g IS NULL THEN 'UNSPECIFIED' WHEN g IN ('F', 'M') THEN g ELSE 'OTHER' END AS gender
-FROM (SELECT c_custkey, nullif(substr(c_mktsegment, 1, 1), 'A') AS g FROM customer)""")
+FROM (SELECT c_custkey, nullif(substr(c_mktsegment, 1, 1), 'A') AS g FROM customer)""", name="normalize_codes")
 def normalized_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     code = F.nullif(F.substring("c_mktsegment", 1, 1), F.lit("A"))
     return table(spark, sf_dir, "customer").select("c_custkey", normalize_codes(code, GENDERS).alias("gender"))
 
 
-@query(f"WITH {CLEAN_SQL} SELECT cicid, travel_mode, visa_category, dates_match_flag FROM clean")
+@query(f"WITH {CLEAN_SQL} SELECT cicid, travel_mode, visa_category, dates_match_flag FROM clean", name="map_codes")
 def mapped_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return raw_arrivals(spark, sf_dir).select(
         "cicid",
@@ -178,7 +178,7 @@ def title_lower_case(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT md5(l_orderkey::VARCHAR || '|' || l_linenumber::VARCHAR || '|' || l_partkey::VARCHAR || '|' ||
            coalesce(nullif(l_returnflag, 'R'), '\\N') || '|' || strftime(l_shipdate, '%Y-%m-%d %H:%M:%S')) AS play_id,
        l_orderkey, l_linenumber
-FROM lineitem""")
+FROM lineitem""", name="hash_key")
 def hashed_key(spark: SparkSession, sf_dir: str) -> DataFrame:
     flag = F.nullif(F.col("l_returnflag"), F.lit("R"))
     return table(spark, sf_dir, "lineitem").select(

@@ -70,6 +70,16 @@ def min_max_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return min_max(table(spark, sf_dir, "part"), "p_retailprice")
 
 
+@query("""SELECT p_type, min(p_retailprice) AS lowest, max(p_retailprice) AS highest, count(DISTINCT p_size) AS n_sizes
+FROM part GROUP BY p_type""")
+def min_max_distinct(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "part").groupBy("p_type").agg(
+        F.min("p_retailprice").alias("lowest"),
+        F.max("p_retailprice").alias("highest"),
+        F.countDistinct("p_size").alias("n_sizes"),
+    )
+
+
 @query("SELECT DISTINCT p_type FROM part")
 def distinct_types(spark: SparkSession, sf_dir: str) -> DataFrame:
     return distinct_values(table(spark, sf_dir, "part"), "p_type")
@@ -82,7 +92,7 @@ def values_outside_set(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""
 SELECT 'o_orderyear' AS "column", 0 AS n_null, count(*) AS n_present FROM orders
-UNION ALL SELECT 'o_flag', count(*) FILTER (WHERE o_orderstatus = 'O'), count(*) FILTER (WHERE o_orderstatus <> 'O') FROM orders""")
+UNION ALL SELECT 'o_flag', count(*) FILTER (WHERE o_orderstatus = 'O'), count(*) FILTER (WHERE o_orderstatus <> 'O') FROM orders""", name="schema_diff")
 def schema_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = table(spark, sf_dir, "orders")
     drifted = orders.withColumns({

@@ -15,17 +15,18 @@ _QUERIES: dict[str, Query] = {}
 _ORACLES: dict[str, str] = {}
 
 
-def query(sql: str | None = None) -> Callable[[Query], Query]:
-    """Register a function under its own name, with the equivalent SQL where there is one."""
+def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
+    """Register a function, by its own name unless given, with the equivalent SQL where there is one."""
 
     def register(fn: Query) -> Query:
         @wraps(fn)
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
             return fn(size_shuffles(configure(spark), sf_dir), sf_dir)
 
-        _QUERIES[fn.__name__] = run
+        key = name or fn.__name__
+        _QUERIES[key] = run
         if sql is not None:
-            _ORACLES[fn.__name__] = sql
+            _ORACLES[key] = sql
         return run
 
     return register
