@@ -18,23 +18,23 @@ from operator import or_
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 200_000
+BROADCAST_ROWS = 100_000
 BROADCAST_BYTES = 32 * 1024 * 1024
 HOT_MIN_ROWS = 500_000
 MAX_HOT_KEYS = 4_096
 
 
 def is_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> bool:
-    """Measure ``df`` against both bounds, reading at most ``max_rows + 1`` rows of it."""
+    """Measure ``df`` against both bounds.
+
+    The limit is the last step, so Spark scans partition by partition and stops
+    as soon as it has ``max_rows + 1`` rows: a table far beyond the bound costs
+    a task or two. Only row widths reach the driver.
+    """
     if max_rows <= 0:
         return False
-    size = (
-        df.limit(max_rows + 1)
-        .select(F.length(F.to_json(F.struct("*"))).alias("width"))
-        .agg(F.count("*").alias("n"), F.coalesce(F.sum("width"), F.lit(0)).alias("width"))
-        .first()
-    )
-    return size["n"] <= max_rows and size["width"] <= max_bytes
+    widths = df.select(F.length(F.to_json(F.struct("*")))).limit(max_rows + 1).collect()
+    return len(widths) <= max_rows and sum(w[0] for w in widths) <= max_bytes
 
 
 def size_checked(df: DataFrame, measure: DataFrame | None = None, max_rows: int = BROADCAST_ROWS) -> tuple[DataFrame, bool]:

@@ -7,13 +7,14 @@ leaves the target as it was.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Callable, Iterator, Sequence
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from starloom.sources.snapshots import upsert
-from starloom.sources.writers import append_new
+from starloom.sources.writers import append_new, keep
 
 BatchSink = Callable[[DataFrame, int], None]
 
@@ -40,6 +41,16 @@ def load_stream(
     query.awaitTermination()
 
 
+@contextmanager
+def _held(batch: DataFrame) -> Iterator[DataFrame]:
+    """Hold a micro-batch while a sink reads it several times, so its files are parsed once."""
+    rows = keep(batch)
+    try:
+        yield rows
+    finally:
+        rows.unpersist()
+
+
 def fact_sink(
     path: str,
     key: Sequence[str],
@@ -49,7 +60,8 @@ def fact_sink(
     """Append rows with a new key, after shaping the batch."""
 
     def write(batch: DataFrame, _: int) -> None:
-        append_new(shape(batch), path, key, partition_by)
+        with _held(shape(batch)) as rows:
+            append_new(rows, path, key, partition_by)
 
     return write
 
@@ -63,6 +75,7 @@ def dimension_sink(
     """Keep the latest row per key; the micro-batch number names the snapshot."""
 
     def write(batch: DataFrame, number: int) -> None:
-        upsert(shape(batch), path, key, order, number=number)
+        with _held(shape(batch)) as rows:
+            upsert(rows, path, key, order, number=number)
 
     return write

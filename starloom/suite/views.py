@@ -34,10 +34,13 @@ def play_log(spark: SparkSession, sf_dir: str, with_user: bool = False) -> DataF
     lines = table(spark, sf_dir, "lineitem")
     part = table(spark, sf_dir, "part")
     log = lines.join(part, F.col("l_partkey") == F.col("p_partkey"))
-    sung = F.col("l_returnflag") != "R"
+    # null-safe tests, one per branch: a filter on the page then folds into one on the flag and reaches the scan
+    flag = F.col("l_returnflag")
+    sung = ~flag.eqNullSafe("R")
+    other_page = F.when(flag.eqNullSafe("A"), "Home").otherwise("Logout")
     columns = {
         "ts": F.unix_millis(F.col("l_shipdate").cast("timestamp")) + (F.col("l_orderkey") % 86400) * 1000 + F.col("l_linenumber"),
-        "page": F.when(F.col("l_returnflag") == "N", "NextSong").when(F.col("l_returnflag") == "A", "Home").otherwise("Logout"),
+        "page": F.when(flag.eqNullSafe("N"), "NextSong").otherwise(other_page),
         "level": F.when(F.col("l_linestatus") == "F", "free").otherwise("paid"),
         "song": F.when(sung, F.col("p_name")),
         "artist": F.when(sung, _artist()),

@@ -37,3 +37,10 @@ def test_salt_spreads_hot_and_null_keys(spark):
 def test_folders_follow_the_session(spark):
     assert scale.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert scale.scratch(spark, "x") != scale.scratch(spark, "x")
+
+
+def test_measuring_a_large_table_stops_early(spark):
+    """Partitions behind the bound are not computed: they would fail."""
+    late = F.when(F.col("id") >= 5000, F.raise_error(F.lit("read too far")).cast("string")).otherwise(F.lit("x"))
+    df = spark.range(0, 10_000, 1, 100).select(late.alias("text"))
+    assert not scale.is_small(df, max_rows=50)
