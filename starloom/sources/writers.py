@@ -84,6 +84,12 @@ def append(df: DataFrame, path: str, blank_to_null: bool = False, partition_by:
     write_parquet(empty_as_null(df) if blank_to_null else df, path, partition_by, mode="append")
 
 
+def stage(df: DataFrame, path: str, replace: bool = True) -> DataFrame:
+    """Fill a staging table, emptied first unless ``replace`` is off, and return it as stored."""
+    write_parquet(df, path, mode="overwrite" if replace else "append")
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def load_dimension(df: DataFrame, path: str, truncate: bool = True) -> None:
     """Reload a dimension, or add to it when ``truncate`` is off."""
     write_parquet(df, path, mode="overwrite" if truncate else "append", compact=True)

@@ -70,10 +70,13 @@ def _records(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type AS action FROM events")
 def stage_json_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records staged twice by field paths; the second copy replaces the first."""
     path = scratch(spark, "staged")
-    _records(spark, sf_dir).write.json(path)
+    _records(spark, sf_dir).write.json(f"{path}/raw")
     paths = {"event_id": "$['eventId']", "user_id": "$.user.id", "action": "$['user']['action']"}
-    return readers.stage_json(spark, path, "event_id bigint, user_id bigint, action string", paths)
+    staged = readers.stage_json(spark, f"{path}/raw", "event_id bigint, user_id bigint, action string", paths)
+    writers.stage(staged, f"{path}/table")
+    return writers.stage(staged, f"{path}/table")
 
 
 @query("SELECT event_id AS eventid, value, try_cast(NULL AS BIGINT) AS absent FROM events")
