@@ -12,7 +12,7 @@ from starloom.operators.dedup import distinct_dimension, latest_per_key, one_per
 from starloom.operators.joins import attribute_join, lookup_join
 from starloom.operators.projection import project
 from starloom.sources.readers import read_json
-from starloom.sources.writers import write_parquet
+from starloom.sources.writers import stage, write_parquet
 
 # The fields of the two raw record kinds, and the action of a play.
 LOG_SCHEMA = (
@@ -225,9 +225,13 @@ def write_query_table(table: DataFrame, path: str, partition_key: Sequence[str],
 
 
 def load(spark: SparkSession, log_path: str, song_path: str, out: str, match: str = "lookup") -> None:
-    """Raw JSON to the five Parquet tables."""
-    catalog = read_json(spark, song_path, SONG_SCHEMA)
-    log = read_json(spark, log_path, LOG_SCHEMA)
+    """Raw JSON to the five Parquet tables.
+
+    Both inputs serve several tables: they are staged as Parquet, so each JSON
+    record is parsed once and every table reads only its columns.
+    """
+    catalog = stage(read_json(spark, song_path, SONG_SCHEMA), f"{out}/staging/songs")
+    log = stage(read_json(spark, log_path, LOG_SCHEMA).where(F.col("page") == PLAY), f"{out}/staging/plays")
     write_parquet(songs(catalog), f"{out}/songs", ["year"])
     write_parquet(artists(catalog), f"{out}/artists", compact=True)
     write_parquet(users(log), f"{out}/users", compact=True)
