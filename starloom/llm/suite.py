@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.decontaminate import decontaminate
 from starloom.llm.line_dedup import line_dedup
+from starloom.llm.minhash_dedup import minhash_dedup
 from starloom.llm.quality_rules import quality_rules
 from starloom.llm.substring_dedup import substring_dedup
 from starloom.session import configure, size_shuffles
@@ -41,6 +42,13 @@ def op3_substring_dedup(spark, sf_dir):
     return substring_dedup(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op5_minhash_dedup(spark, sf_dir):
+    return minhash_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_shingles", "component_id", F.equal_null("doc_id", "component_id").alias("kept")
+    )
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     return line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
