@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from starloom.llm.byte_bpe import byte_bpe, read_ranks
 from starloom.llm.decontaminate import decontaminate
 from starloom.llm.line_dedup import line_dedup
 from starloom.llm.minhash_dedup import minhash_dedup
@@ -54,6 +55,14 @@ def op7_line_dedup(spark, sf_dir):
     return line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op9_byte_bpe(spark, sf_dir):
+    import public_tokenizers
+
+    ranks = read_ranks(spark, public_tokenizers.path("byte_bpe_multi_50k.tiktoken"))
+    return byte_bpe(documents(spark, sf_dir), ranks, public_tokenizers.PATTERN)
+
+
 @query
 def op10_decontaminate(spark, sf_dir):
     found = decontaminate(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
