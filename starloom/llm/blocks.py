@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.ml.feature import Bucketizer
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -23,6 +24,23 @@ MESSAGE = "_bucket long, _b int, payload binary"
 _SCHEMA = pa.schema([("_bucket", pa.int64()), ("_b", pa.int32()), ("payload", pa.binary())])
 
 
+class DistinctRows:
+    """The distinct rows of a block by id and text: ``texts``; ``row`` leads from each ``doc_id`` of the block to its text."""
+
+    def __init__(self, table: pa.Table):
+        text = pc.fill_null(table["text"].combine_chunks(), "")
+        order = pc.sort_indices(pa.table([table["_d"].combine_chunks(), text], names=["d", "t"]), [("d", "ascending"), ("t", "ascending")])
+        ids, texts = table["_d"].combine_chunks().take(order), text.take(order)
+        n = len(texts)
+        fresh = np.ones(n, dtype=bool)
+        if n > 1:  # equal rows are one document and share its result
+            again = pc.and_(pc.equal(ids.slice(1), ids.slice(0, n - 1)), pc.equal(texts.slice(1), texts.slice(0, n - 1)))
+            fresh[1:] = ~np.asarray(again)
+        self.texts = texts.filter(pa.array(fresh))
+        self.doc_id = table["doc_id"].combine_chunks().take(order)
+        self.row = np.cumsum(fresh) - 1
+
+
 def bucket_bits(docs: DataFrame, per_partition: int = BLOCKS_PER_PARTITION) -> int:
     """Buckets are a power of two, ``per_partition`` or more for each shuffle partition."""
     return (per_partition * shuffle_parts(docs) - 1).bit_length()
@@ -66,8 +84,8 @@ def send(sorted_hashes: np.ndarray, bits: int, block: int, pack, memo: bytes | N
     return messages(to, [block] * len(to), payload)
 
 
-def answered(replies: pa.Table, sorted_hashes: np.ndarray, bits: int, kinds: int = 1) -> tuple[np.ndarray, bytes | None]:
-    """``kinds`` rows of a bit per hash, from replies in the order of ``send``, and the memo."""
+def answered(replies: pa.Table, sorted_hashes: np.ndarray, bits: int, kinds: int = 1) -> np.ndarray:
+    """``kinds`` rows of a bit per hash, from replies in the order of ``send``."""
     out = np.zeros((kinds, len(sorted_hashes)), dtype=bool)
     found = dict(zip(replies["_bucket"].to_pylist(), replies["payload"].to_pylist()))
     buckets, first, last = bucket_bounds(sorted_hashes, bits)
@@ -75,7 +93,16 @@ def answered(replies: pa.Table, sorted_hashes: np.ndarray, bits: int, kinds: int
         if k in found:
             flags = np.unpackbits(np.frombuffer(found[k], np.uint8), count=kinds * (b - a))
             out[:, a:b] = flags.reshape(kinds, b - a)
-    return out, next((v for k, v in found.items() if k < 0), None)
+    return out
+
+
+def relayed(table: pa.Table) -> pa.Table | None:
+    """Memos pass a bucket as they are."""
+    return table.select(["_bucket", "_b", "payload"]) if table["_bucket"][0].as_py() < 0 else None
+
+
+def memo_of(replies: pa.Table) -> bytes | None:
+    return next((p for k, p in zip(replies["_bucket"].to_pylist(), replies["payload"].to_pylist()) if k < 0), None)
 
 
 def reply(blocks: list[int], bucket: int, flags: list[np.ndarray]) -> pa.Table:

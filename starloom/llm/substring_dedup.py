@@ -11,10 +11,9 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
-from starloom.llm.blocks import MESSAGE, answered, bucket_bits, messages, reply, send, with_blocks
+from starloom.llm.blocks import MESSAGE, DistinctRows, answered, bucket_bits, memo_of, messages, relayed, reply, send, with_blocks
 from starloom.llm.rows import keyed
 from starloom.llm.tokens import NOT_WHITE, join_hash, mix, slices
 
@@ -23,21 +22,8 @@ BASE_WORDS = 10
 SPACE = 0x20
 
 
-class Block:
-    """The distinct rows of a block in document order, and the hashes of their windows."""
-
-    def __init__(self, table: pa.Table):
-        text = pc.fill_null(table["text"].combine_chunks(), "")
-        order = pc.sort_indices(pa.table([table["_d"].combine_chunks(), text], names=["d", "t"]), [("d", "ascending"), ("t", "ascending")])
-        ids, texts = table["_d"].combine_chunks().take(order), text.take(order)
-        n = len(texts)
-        fresh = np.ones(n, dtype=bool)
-        if n > 1:  # equal rows are one document and share its result
-            again = pc.and_(pc.equal(ids.slice(1), ids.slice(0, n - 1)), pc.equal(texts.slice(1), texts.slice(0, n - 1)))
-            fresh[1:] = ~np.asarray(again)
-        self.texts = texts.filter(pa.array(fresh))
-        self.doc_id = table["doc_id"].combine_chunks().take(order)
-        self.row = np.cumsum(fresh) - 1
+class Block(DistinctRows):
+    """The hashes of windows over the distinct rows of a block."""
 
     def hashes(self, n: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Window hashes of ``n`` words, whether the window is whole, and the word hashes."""
@@ -82,13 +68,8 @@ def _ask_first(h: np.ndarray, words: np.ndarray, cand: np.ndarray, n: int, bits:
     return send(u, bits, block, lambda a, b: u[a:b].astype("<u8").tobytes() + extra[a:b].tobytes(), np.packbits(cand).tobytes())
 
 
-def _relay(table: pa.Table) -> pa.Table | None:
-    """Memos pass a bucket as they are."""
-    return table.select(["_bucket", "_b", "payload"]) if table["_bucket"][0].as_py() < 0 else None
-
-
 def _bucket_repeated(table: pa.Table) -> pa.Table:
-    if (memo := _relay(table)) is not None:
+    if (memo := relayed(table)) is not None:
         return memo
     marks = [np.frombuffer(p, "<u4") for p in table["payload"].to_pylist()]
     every = np.concatenate(marks)
@@ -100,7 +81,7 @@ def _bucket_repeated(table: pa.Table) -> pa.Table:
 
 
 def _bucket_first(table: pa.Table) -> pa.Table:
-    if (memo := _relay(table)) is not None:
+    if (memo := relayed(table)) is not None:
         return memo
     payload, blocks = table["payload"].to_pylist(), np.array(table["_b"].to_pylist())
     sizes = [len(p) // 10 for p in payload]
@@ -116,10 +97,6 @@ def _candidates(memo: bytes | None, ok: np.ndarray) -> np.ndarray:
     return ok if memo is None else np.unpackbits(np.frombuffer(memo, np.uint8), count=len(ok)).astype(bool)
 
 
-def _memo(replies: pa.Table) -> bytes | None:
-    return next((p for k, p in zip(replies["_bucket"].to_pylist(), replies["payload"].to_pylist()) if k < 0), None)
-
-
 def _kept_text(block: Block, removed: np.ndarray) -> tuple[list[str], np.ndarray, np.ndarray]:
     """Per document: kept words joined by one space, words, removed words."""
     texts, n_words, n_removed, at = [], [], [], 0
@@ -186,10 +163,10 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, base_words: int
                 return messages([], [], [])
             block = Block(table)
             h, ok, words = block.hashes(n)
-            cand = _candidates(_memo(replies), ok)
+            cand = _candidates(memo_of(replies), ok)
             u, back = np.unique(h[cand], return_inverse=True)
             found = np.zeros(len(h), dtype=bool)
-            found[cand] = answered(replies, u, bits)[0][0][back]
+            found[cand] = answered(replies, u, bits)[0][back]
             follow, twice = np.zeros(len(h), dtype=bool), np.zeros_like(h)
             if len(h) > n:
                 follow[:-n] = found[:-n] & found[n:]
@@ -209,13 +186,13 @@ def substring_dedup(docs: DataFrame, min_words: int = MIN_WORDS, base_words: int
 
     def finish(_, table, replies):
         block = Block(table)
-        memo = _memo(replies)
+        memo = memo_of(replies)
         h, ok, _words = block.hashes(min_words)
         removed = np.zeros(len(h), dtype=bool)
         if memo is not None:
             at = np.flatnonzero(_candidates(memo, ok))
             u, first, back = np.unique(h[at], return_index=True, return_inverse=True)
-            again = answered(replies, u, bits)[0][0][back]
+            again = answered(replies, u, bits)[0][back]
             local = np.ones(len(at), dtype=bool)
             local[first] = False
             begins = np.zeros(len(h) + 1, dtype=np.int64)

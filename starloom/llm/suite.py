@@ -13,6 +13,7 @@ from starloom.llm.line_dedup import line_dedup
 from starloom.llm.minhash_dedup import minhash_dedup
 from starloom.llm.quality_rules import quality_rules
 from starloom.llm.substring_dedup import substring_dedup
+from starloom.llm.suffix_dedup import suffix_dedup
 from starloom.session import configure, size_shuffles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -55,6 +56,13 @@ def op7_line_dedup(spark, sf_dir):
     return line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op8_suffix_dedup(spark, sf_dir):
+    return suffix_dedup(documents(spark, sf_dir)).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256")
+    )
+
+
 @query
 def op9_byte_bpe(spark, sf_dir):
     import public_tokenizers
