@@ -12,6 +12,7 @@ from starloom.llm.decontaminate import decontaminate
 from starloom.llm.line_dedup import line_dedup
 from starloom.llm.minhash_dedup import minhash_dedup
 from starloom.llm.quality_rules import quality_rules
+from starloom.llm.secret_scan import secret_scan
 from starloom.llm.substring_dedup import substring_dedup
 from starloom.llm.suffix_dedup import suffix_dedup
 from starloom.session import configure, size_shuffles
@@ -32,6 +33,15 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def spans_text(spans):
+    """``kind:start:end`` of the spans, comma-joined in their order."""
+    return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ",")
+
+
+def of_kind(spans, *kinds):
+    return F.filter(spans, lambda s: s["kind"].isin(*kinds))
+
+
 @query
 def op1_quality_rules(spark, sf_dir):
     return quality_rules(documents(spark, sf_dir).select("doc_id", "text")).select(
@@ -39,6 +49,17 @@ def op1_quality_rules(spark, sf_dir):
     )
 
 
+@query
+def op2_secret_scan(spark, sf_dir):
+    spans = F.col("spans")
+    return secret_scan(documents(spark, sf_dir)).select(
+        "doc_id",
+        *[F.size(of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in ("assign", "access", "hex", "guess")],
+        F.sha2(spans_text(of_kind(spans, "assign", "access", "hex")), 256).alias("base_sha256"),
+        spans_text(spans).alias("spans"),
+    )
+
+
 @query
 def op3_substring_dedup(spark, sf_dir):
     return substring_dedup(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
