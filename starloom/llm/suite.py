@@ -12,6 +12,7 @@ from starloom.llm.decontaminate import decontaminate
 from starloom.llm.line_dedup import line_dedup
 from starloom.llm.minhash_dedup import minhash_dedup
 from starloom.llm.quality_rules import quality_rules
+from starloom.llm.sanitise import sanitise
 from starloom.llm.secret_scan import secret_scan
 from starloom.llm.substring_dedup import substring_dedup
 from starloom.llm.suffix_dedup import suffix_dedup
@@ -72,6 +73,18 @@ def op5_minhash_dedup(spark, sf_dir):
     )
 
 
+@query
+def op6_sanitise(spark, sf_dir):
+    spans = F.col("spans")
+    base = ("email", "ip", "card", "phone")
+    return sanitise(documents(spark, sf_dir)).select(
+        "doc_id",
+        *[F.size(of_kind(spans, k)).cast("long").alias(f"n_{k}") for k in (*base, "term_removed", "term_generalised")],
+        F.sha2(spans_text(of_kind(spans, *base)), 256).alias("base_sha256"),
+        spans_text(spans).alias("spans"),
+    )
+
+
 @query
 def op7_line_dedup(spark, sf_dir):
     return line_dedup(documents(spark, sf_dir)).select("doc_id", "n_lines", "n_dropped", F.sha2("text", 256).alias("kept_sha256"))
