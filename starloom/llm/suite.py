@@ -16,6 +16,7 @@ from starloom.llm.sanitise import sanitise
 from starloom.llm.secret_scan import secret_scan
 from starloom.llm.substring_dedup import substring_dedup
 from starloom.llm.suffix_dedup import suffix_dedup
+from starloom.llm.toxicity import fit, toxicity
 from starloom.session import configure, size_shuffles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -66,6 +67,12 @@ def op3_substring_dedup(spark, sf_dir):
     return substring_dedup(documents(spark, sf_dir)).select("doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
 
 
+@query
+def op4_toxicity(spark, sf_dir):
+    docs = documents(spark, sf_dir)
+    return toxicity(docs, fit(docs, spark.read.parquet(f"{sf_dir}/labels.parquet")))
+
+
 @query
 def op5_minhash_dedup(spark, sf_dir):
     return minhash_dedup(documents(spark, sf_dir)).select(
