@@ -9,6 +9,8 @@ document in a partial aggregate.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -62,7 +64,7 @@ def without(lines: Column, drop: Column) -> Column:
     return let(drop, cut)
 
 
-def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataFrame:
+def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3, carry: Sequence[str] = ()) -> DataFrame:
     """``doc_id, text, n_lines, n_dropped``: one row per input row, in no order.
 
     A line whose key has ``min_chars`` code points or more and is found in
@@ -72,9 +74,9 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
     Null or empty text: one empty line, never dropped (result text ``""``). Null
     ids count as one document below all others. Rows of the same id count as one
     document; each is rewritten on its own. An empty table gives an empty table.
-    Other columns are ignored.
+    Columns named in ``carry`` come along; others are ignored.
     """
-    rows = keyed(docs)
+    rows = keyed(docs, carry)
     drops = repeated_lines(rows, min_chars, min_docs)
     joined = rows.join(drops, ["_d", "_h"], "left")
     lines = lines_of(F.col("text"))
@@ -86,6 +88,5 @@ def line_dedup(docs: DataFrame, min_chars: int = 20, min_docs: int = 3) -> DataF
         kept.alias("text"),
         F.size(lines).cast("long").alias("n_lines"),
         F.coalesce(F.size("drop"), F.lit(0)).cast("long").alias("n_dropped"),
-        "_d",
-        "_h",
+        *[c for c in carry if c not in ("doc_id", "text")],
     )

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -15,8 +17,8 @@ def let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def keyed(docs: DataFrame) -> DataFrame:
-    """``doc_id``, ``text`` and the two key columns of a row: ``_d`` and ``_h``.
+def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
+    """``doc_id``, ``text``, the columns to carry, and the two key columns of a row: ``_d`` and ``_h``.
 
     ``_d`` is the id with null as the lowest long, so that a null id is one
     document that sorts first. ``_h`` tells rows of one id with different texts
@@ -25,6 +27,7 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
+        *[c for c in carry if c not in ("doc_id", "text")],
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST_ID)).alias("_d"),
         F.xxhash64(F.col("text").cast("string"), F.col("text").isNull()).alias("_h"),
     )
