@@ -111,7 +111,7 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
     """
     text = F.coalesce(F.col("text").cast("string"), F.lit(""))
     added = ("clean_text", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "n_lines_cut", "base_failed", "kept")
-    docs = docs.drop(*added)
+    docs = docs.drop(*added, "__w", "__c")
     lines = F.split(text, "\n", -1)
     duplicates = let(
         F.filter(lines, lambda x: F.btrim(x, F.lit(" \t\x0b\x0c\r")) != ""),
@@ -127,22 +127,22 @@ def quality_rules(docs: DataFrame, rules: Rules = Rules()) -> DataFrame:
         let(
             words_of(text),
             lambda w: F.struct(F.size(w).alias("n"), solid(w).alias("chars"), repeat_words(w).alias("repeat")),
-        ).alias("_w"),
-        F.when(suspects(text), passed()).alias("_c"),
+        ).alias("__w"),
+        F.when(suspects(text), passed()).alias("__c"),
     )
-    n_words = F.col("_w.n").cast("long")
-    base = (n_words < rules.min_words) | (F.col("_w.repeat") * 100 > n_words * rules.max_repeat_percent)
-    uncut = F.col("_c").isNull()
-    cut = F.when(uncut, F.lit(0)).otherwise(F.size(lines) - F.col("_c.n"))
-    lost = (F.col("_w.chars") - solid(words_of(F.col("_c.text")))) * 100 > F.col("_w.chars") * rules.max_lost_percent
+    n_words = F.col("__w.n").cast("long")
+    base = (n_words < rules.min_words) | (F.col("__w.repeat") * 100 > n_words * rules.max_repeat_percent)
+    uncut = F.col("__c").isNull()
+    cut = F.when(uncut, F.lit(0)).otherwise(F.size(lines) - F.col("__c.n"))
+    lost = (F.col("__w.chars") - solid(words_of(F.col("__c.text")))) * 100 > F.col("__w.chars") * rules.max_lost_percent
     return counted.select(
         *docs.columns,
-        F.coalesce("_c.text", text).alias("clean_text"),
+        F.coalesce("__c.text", text).alias("clean_text"),
         n_words.alias("n_words"),
-        F.col("_w.chars").cast("long").alias("word_chars"),
+        F.col("__w.chars").cast("long").alias("word_chars"),
         F.when(uncut, F.lit(0)).otherwise(count_of(text, SYMBOLS)).cast("long").alias("n_symbols"),
         duplicates.cast("long").alias("n_dup_lines"),
-        F.col("_w.repeat").alias("n_repeat_words"),
+        F.col("__w.repeat").alias("n_repeat_words"),
         cut.cast("long").alias("n_lines_cut"),
         base.alias("base_failed"),
         (~base & (uncut | ~lost)).alias("kept"),

@@ -22,12 +22,12 @@ def keyed(docs: DataFrame, carry: Sequence[str] = ()) -> DataFrame:
 
     ``_d`` is the id with null as the lowest long, so that a null id is one
     document that sorts first. ``_h`` tells rows of one id with different texts
-    apart; equal rows share both and so get equal results.
+    apart; equal rows share both and so get equal results. Columns of these two names are not carried.
     """
     return docs.select(
         F.col("doc_id").cast("long").alias("doc_id"),
         F.col("text").cast("string").alias("text"),
-        *[c for c in carry if c not in ("doc_id", "text")],
+        *[c for c in carry if c not in ("doc_id", "text", "_d", "_h")],
         F.coalesce(F.col("doc_id").cast("long"), F.lit(LOWEST_ID)).alias("_d"),
         F.xxhash64(F.col("text").cast("string"), F.col("text").isNull()).alias("_h"),
     )

@@ -11,6 +11,7 @@ from starloom.llm.byte_bpe import byte_bpe, read_ranks
 from starloom.llm.decontaminate import decontaminate
 from starloom.llm.line_dedup import line_dedup
 from starloom.llm.minhash_dedup import minhash_dedup
+from starloom.llm.oracles import ORACLES
 from starloom.llm.quality_rules import quality_rules
 from starloom.llm.sanitise import sanitise
 from starloom.llm.secret_scan import secret_scan
@@ -20,7 +21,6 @@ from starloom.llm.toxicity import fit, toxicity
 from starloom.session import configure, size_shuffles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
-_ORACLES: dict[str, str] = {}
 
 
 def query(fn):
@@ -122,7 +122,6 @@ def op10_decontaminate(spark, sf_dir):
         F.size("items").cast("long").alias("n_items"),
         F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
         (F.col("n_hit") > 0).alias("contaminated"),
-        F.size("near_items").cast("long").alias("n_near_items"),
     )
 
 
@@ -131,4 +130,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return dict(_ORACLES)
+    return dict(ORACLES)
