@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.llm.rows import WHITE, keyed, let
+from starloom.scale import stable
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -36,7 +37,8 @@ def repeated_lines(rows: DataFrame, min_chars: int, min_docs: int) -> DataFrame:
     keys = line.select("_d", "_h", "pos", line_key(F.col("line")).alias("key")).where(F.length("key") >= min_chars)
     # two 64-bit hashes with different seeds stand for the key
     keys = keys.select("_d", "_h", "pos", F.xxhash64("key").alias("k1"), F.xxhash64(F.lit(1), "key").alias("k2"))
-    common = (
+    # stored, so that both sides of the join below are plain shuffles and Spark can split a hot line's
+    common = stable(
         keys.groupBy("k1", "k2")
         .agg(F.count_distinct("_d").alias("n"), F.max("_d").alias("keeper"))
         .where(F.col("n") >= min_docs)
