@@ -3,6 +3,7 @@
 BENCH_SF_DIR  input folder (default /root/testdata/sf0.1)
 BENCH_CPUS    local threads (default 8)
 BENCH_RUNS    timed runs per query after one warm-up; the median counts (default 3)
+BENCH_SCRATCH folder for checkpoints and intermediate tables (default: a new temporary one)
 BENCH_KEYS    comma-separated query keys, or "all" (default: the headline queries)
 """
 
@@ -11,6 +12,7 @@ from __future__ import annotations
 import json
 import os
 import statistics
+import tempfile
 import time
 
 from starloom.session import build_session
@@ -21,7 +23,7 @@ HEADLINE = (
     "unmatched_keys user_latest user_one_per_key latest_per_key_rank time_dimension_distinct query_by_session query_by_song "
     "arrivals_fact previous_visits previous_visits_star previous_visits_spread daily_counts ml_features funnel_counts "
     "null_profile describe_columns value_counts_star quality_report partition_refresh append_new upsert_export "
-    "incremental_events"
+    "incremental_events listening_load arrivals_load overstay_scores"
 ).split()
 
 
@@ -39,6 +41,7 @@ def main() -> None:
         spark_sql_shuffle_partitions=cpus,
         spark_driver_memory=os.environ.get("BENCH_MEMORY", "12g"),
         spark_ui_showConsoleProgress="false",
+        spark_checkpoint_dir=os.environ.get("BENCH_SCRATCH") or tempfile.mkdtemp(prefix="bench-"),
     )
     spark.sparkContext.setLogLevel("ERROR")
 

@@ -53,15 +53,15 @@ def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
         "listening": (tables.LISTENING_TABLES, tables.listening_checks),
         "arrivals": (tables.ARRIVALS_TABLES, tables.arrivals_checks),
     }[args.domain]
-    quality.enforce(quality.run_checks(checks(tables.read_tables(spark, args.tables, schemas))))
+    quality.enforce(quality.run_checks(checks(tables.read_tables(size_shuffles(spark, args.tables), args.tables, schemas))))
 
 
 def run_export(spark: SparkSession, args: argparse.Namespace) -> None:
-    export_json(tables.read_tables(spark, args.tables, tables.ARRIVALS_TABLES), args.out)
+    export_json(tables.read_tables(size_shuffles(spark, args.tables), args.tables, tables.ARRIVALS_TABLES), args.out)
 
 
 def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
-    for name, df in tables.read_tables(spark, args.tables, PUBLISHED_KEYS).items():
+    for name, df in tables.read_tables(size_shuffles(spark, args.tables), args.tables, PUBLISHED_KEYS).items():
         upsert(df, f"{args.out}/{name}", PUBLISHED_KEYS[name], [], arrival_wins=True)
 
 
@@ -73,7 +73,7 @@ def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
-    scored = overstay_model.score(spark.read.parquet(args.features), overstay_model.load(args.model))
+    scored = overstay_model.score(size_shuffles(spark, args.features).read.parquet(args.features), overstay_model.load(args.model))
     write_parquet(scored, args.out)
 
 
@@ -86,6 +86,7 @@ def parser() -> argparse.ArgumentParser:
         sub.set_defaults(run=run)
         for path in paths:
             sub.add_argument(f"--{path}", required=True)
+        sub.add_argument("--scratch", help="folder shared by all executors, for checkpoints and intermediate tables")
         return sub
 
     command("listening", run_listening, "log", "songs", "out").add_argument(
@@ -106,7 +107,8 @@ def main(argv: list[str] | None = None) -> int:
     logging.basicConfig(level=logging.INFO, format="%(asctime)s %(levelname)s %(name)s: %(message)s")
     args = parser().parse_args(argv)
     try:
-        args.run(build_session(f"starloom-{args.command}"), args)
+        shared = {"spark_checkpoint_dir": args.scratch} if args.scratch else {}
+        args.run(build_session(f"starloom-{args.command}", **shared), args)
     except quality.QualityError as error:
         logging.getLogger(__name__).error("checks failed: %s", error)
         return 1

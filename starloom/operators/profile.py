@@ -81,9 +81,9 @@ def distinct_values(df: DataFrame, column: str) -> DataFrame:
     return df.select(column).distinct()
 
 
-def invalid_values(df: DataFrame, column: str, valid: Sequence[object]) -> DataFrame:
-    """Values outside the valid set, with their row counts."""
-    bad = df.where(~F.col(column).isin(list(valid)))
+def invalid_values(df: DataFrame, column: str, valid: Sequence[object], allow_null: bool = False) -> DataFrame:
+    """Values outside the valid set, with their row counts; null is outside unless allowed."""
+    bad = df.where(F.coalesce(~F.col(column).isin(list(valid)), F.lit(not allow_null)))
     return bad.groupBy(column).agg(F.count("*").alias("n"))
 
 

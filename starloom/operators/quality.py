@@ -54,12 +54,14 @@ def no_nulls(column: str) -> Check:
     return _count_bad(f"no_nulls({column})", lambda: F.col(column).isNull())
 
 
-def in_set(column: str, values: Sequence[object]) -> Check:
-    return _count_bad(f"in_set({column})", lambda: ~F.col(column).isin(list(values)))
+def in_set(column: str, values: Sequence[object], allow_null: bool = False) -> Check:
+    """Null is outside the set unless allowed."""
+    return _count_bad(f"in_set({column})", lambda: F.coalesce(~F.col(column).isin(list(values)), F.lit(not allow_null)))
 
 
-def in_range(column: str, low: float, high: float) -> Check:
-    return _count_bad(f"in_range({column})", lambda: ~F.col(column).between(low, high))
+def in_range(column: str, low: float, high: float, allow_null: bool = False) -> Check:
+    """Null is outside the range unless allowed."""
+    return _count_bad(f"in_range({column})", lambda: F.coalesce(~F.col(column).between(low, high), F.lit(not allow_null)))
 
 
 def lowest(column: str, test: Callable[[Column], Column]) -> Check:
@@ -71,7 +73,7 @@ def highest(column: str, test: Callable[[Column], Column]) -> Check:
 
 
 def lossy_cast(column: str, kind: str) -> Check:
-    return _count_bad(f"lossy_cast({column})", lambda: F.col(column).try_cast(kind) != F.col(column))
+    return _count_bad(f"lossy_cast({column})", lambda: ~F.col(column).try_cast(kind).eqNullSafe(F.col(column)))
 
 
 def max_length(column: str, n: int) -> Check:

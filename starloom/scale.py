@@ -8,11 +8,14 @@
 
 from __future__ import annotations
 
+import atexit
 import math
+import re
+import shutil
 import tempfile
 import uuid
 from collections.abc import Iterable, Mapping, Sequence
-from functools import reduce
+from functools import cache, reduce
 from operator import or_
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -114,9 +117,25 @@ def salt_sides(
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared checkpoint folder; a temporary one only where none is set."""
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    return folder or spark.sparkContext.getCheckpointDir() or tempfile.mkdtemp(prefix="starloom-")
+    """The cluster's shared checkpoint folder; a temporary one only in local mode, one per process.
+
+    On a cluster executors and driver do not share local disks, so a missing
+    setting is an error there.
+    """
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if folder:
+        return folder
+    master = spark.sparkContext.master
+    if not re.fullmatch(r"local(\[.*\])?", master):
+        raise RuntimeError(f"set spark.checkpoint.dir to a folder that all executors of {master} share")
+    return _local_folder()
+
+
+@cache
+def _local_folder() -> str:
+    folder = tempfile.mkdtemp(prefix="starloom-")
+    atexit.register(shutil.rmtree, folder, ignore_errors=True)
+    return folder
 
 
 def scratch(spark: SparkSession, name: str) -> str:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import lru_cache
-
 from pyspark.sql import SparkSession
 
 # Runtime SQL settings. Partition counts and memory stay with the cluster:
@@ -19,14 +17,12 @@ RUNTIME_CONF = {
 }
 
 
-# Shuffle sizing: stored bytes per partition, and the most partitions a shuffle may have.
+# Shuffle sizing: stored bytes per partition.
 PARTITION_BYTES = 256 * 1024 * 1024
-MAX_PARTITIONS = 50_000
 
 
-@lru_cache(maxsize=64)
 def stored_bytes(spark: SparkSession, path: str) -> int:
-    """Total size of the files below ``path``."""
+    """Total size of the files below ``path``, asked anew each time: tables grow."""
     folder = spark._jvm.org.apache.hadoop.fs.Path(path)
     files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
     return files.getContentSummary(folder).getLength()
@@ -38,7 +34,7 @@ def size_shuffles(spark: SparkSession, path: str) -> SparkSession:
     Adaptive execution merges small partitions but cannot add any, so the count
     must start high enough. It is never lowered.
     """
-    needed = min(MAX_PARTITIONS, -(-stored_bytes(spark, path) // PARTITION_BYTES))
+    needed = -(-stored_bytes(spark, path) // PARTITION_BYTES)
     if needed > int(spark.conf.get("spark.sql.shuffle.partitions")):
         spark.conf.set("spark.sql.shuffle.partitions", str(needed))
     return spark

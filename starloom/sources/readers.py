@@ -27,7 +27,7 @@ def read_json(spark: SparkSession, path: str | list[str], schema: Schema | None
         reader = reader.schema(schema)
     if glob:
         reader = reader.option("pathGlobFilter", glob)
-    wildcard = any("*" in p for p in ([path] if isinstance(path, str) else path))
+    wildcard = any(set("*?[{") & set(p) for p in ([path] if isinstance(path, str) else path))
     if not wildcard:
         reader = reader.option("recursiveFileLookup", True)
     return reader.json(path)
@@ -119,17 +119,50 @@ def keep_required(df: DataFrame, column: str) -> DataFrame:
     return df.where(F.col(column) != "")
 
 
+def _first_line(spark: SparkSession, path: str) -> str:
+    """First line of a stored file, through Hadoop's readers, so that any store and compression will do."""
+    jvm, conf = spark._jvm, spark._jsc.hadoopConfiguration()
+    file = jvm.org.apache.hadoop.fs.Path(path)
+    stream = file.getFileSystem(conf).open(file)
+    try:
+        codec = jvm.org.apache.hadoop.io.compress.CompressionCodecFactory(conf).getCodec(file)
+        plain = codec.createInputStream(stream) if codec else stream
+        return jvm.java.io.BufferedReader(jvm.java.io.InputStreamReader(plain, "UTF-8")).readLine() or ""
+    finally:
+        stream.close()
+
+
+def _by_header(spark: SparkSession, paths: Sequence[str]) -> dict[str, list[str]]:
+    """CSV files below the paths, grouped by their header lines."""
+    groups: dict[str, list[str]] = {}
+    for path in sorted(spark.read.option("recursiveFileLookup", True).text(list(paths)).inputFiles()):
+        groups.setdefault(_first_line(spark, path), []).append(path)
+    return groups
+
+
 def read_union(spark: SparkSession, paths: Sequence[str], schema: Schema, fmt: str = "parquet") -> DataFrame:
     """Files that share columns but differ in extra ones, projected to ``schema``.
 
-    Formats that carry field names need one reader call for all files. CSV is
-    positional, so there each path is read by its own header and then united.
+    CSV is positional: files are grouped by header, one reader for each distinct
+    header, and a file that breaks its group's header fails. The driver reads
+    one line a file. A column that no file has is an error, in CSV and Parquet.
     """
     kinds = _struct(schema)
+    if fmt == "parquet":
+        present = set(spark.read.option("mergeSchema", True).parquet(*paths).columns)
+        if absent := [f.name for f in kinds if f.name not in present]:
+            raise ValueError(f"columns {absent} are in no file of {list(paths)}")
     if fmt != "csv":
         return spark.read.schema(kinds).format(fmt).load(list(paths))
-    cast = [F.col(f"`{f.name}`").try_cast(f.dataType).alias(f.name) for f in kinds]
-    return reduce(DataFrame.unionByName, [read_csv(spark, p).select(*cast) for p in paths])
+    frames, present = [], set()
+    for files in _by_header(spark, paths).values():
+        frame = read_csv(spark, files, enforceSchema="false")
+        present.update(frame.columns)
+        at = {c: F.col(f"`{c}`") for c in frame.columns}
+        frames.append(frame.select(*[at.get(f.name, F.lit(None)).try_cast(f.dataType).alias(f.name) for f in kinds]))
+    if absent := [f.name for f in kinds if f.name not in present]:
+        raise ValueError(f"columns {absent} are in no file of {list(paths)}")
+    return reduce(DataFrame.unionByName, frames)
 
 
 def union_frames(frames: Sequence[DataFrame], columns: Sequence[str]) -> DataFrame:

@@ -13,17 +13,22 @@ from pyspark.sql import functions as F
 
 from starloom.operators.dedup import latest_per_key
 from starloom.scale import size_checked
-from starloom.sources.writers import read_target, write_parquet
+from starloom.sources.writers import by_key, read_target, write_parquet
 
+KEEP_SNAPSHOTS = 8
 
-def committed(spark: SparkSession, path: str, before: int | None = None) -> int | None:
+
+_LOG = "snapshot bigint, writer string, batch bigint"
+
+
+def _commits(spark: SparkSession, path: str) -> DataFrame | None:
+    return read_target(spark, f"{path}/commits", _LOG)
+
+
+def committed(spark: SparkSession, path: str) -> int | None:
     """Number of the newest committed snapshot, or None."""
-    log = read_target(spark, f"{path}/commits", "snapshot bigint")
-    if log is None:
-        return None
-    if before is not None:
-        log = log.where(F.col("snapshot") < before)
-    return log.agg(F.max("snapshot").alias("n")).first()["n"]
+    log = _commits(spark, path)
+    return None if log is None else log.agg(F.max("snapshot").alias("n")).first()["n"]
 
 
 def read_snapshot(spark: SparkSession, path: str, number: int | None = None) -> DataFrame:
@@ -34,38 +39,56 @@ def read_snapshot(spark: SparkSession, path: str, number: int | None = None) ->
     return spark.read.parquet(f"{path}/data/snapshot={n}")
 
 
+def _expire(spark: SparkSession, path: str, number: int) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/data/snapshot={number}")
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
 def upsert(
     batch: DataFrame,
     path: str,
     key: Sequence[str],
     order: Sequence[str | Column],
     arrival_wins: bool = False,
-    number: int | None = None,
+    writer: str = "",
+    batch_id: int | None = None,
+    keep: int = KEEP_SNAPSHOTS,
 ) -> int:
     """Merge a batch into the table at ``path``; returns the new snapshot's number.
 
     A key's greatest row by ``order`` survives; with ``arrival_wins`` any batch
-    row beats a stored one, and ``order`` decides inside the batch. Passing the
-    same ``number`` again redoes that snapshot from the one before it. Stored
-    rows whose key the batch does not touch are copied without a shuffle when
-    the batch's keys are small enough to broadcast.
+    row beats a stored one, and ``order`` decides inside the batch. Nulls in the
+    key equal each other. ``writer`` and ``batch_id`` name a batch: one that is
+    committed already is not merged again. Numbers go on from the newest commit,
+    whoever wrote it. Stored rows whose key the batch does not touch are copied
+    without a shuffle when the batch's keys are small enough to broadcast. The
+    newest ``keep`` snapshots stay on disk.
     """
     spark = batch.sparkSession
-    base_number = committed(spark, path, before=number)
-    if number is None:
-        number = 0 if base_number is None else base_number + 1
+    base_number = committed(spark, path)
+    if batch_id is not None and base_number is not None:
+        done = _commits(spark, path).where((F.col("writer") == writer) & (F.col("batch") == batch_id))
+        if before := done.agg(F.max("snapshot").alias("n")).first()["n"]:
+            return before
+    number = 1 if base_number is None else base_number + 1
+    newest = latest_per_key(batch, key, order)
     if base_number is None:
-        merged = latest_per_key(batch, key, order)
+        merged = newest
     else:
         base = read_snapshot(spark, path, base_number).select(*batch.columns).withColumn("_gen", F.lit(0))
-        newest = latest_per_key(batch, key, order).withColumn("_gen", F.lit(1))
+        newest = newest.withColumn("_gen", F.lit(1))
         rule = ["_gen", *order] if arrival_wins else [*order, "_gen"]
         touched, small = size_checked(newest.select(*key), measure=batch.select(*key))
-        contested = base.join(touched, list(key), "left_semi") if small else base
+        contested = by_key(base, touched, key, "left_semi") if small else base
         merged = latest_per_key(contested.unionByName(newest), key, rule)
         if small:
-            merged = merged.unionByName(base.join(touched, list(key), "left_anti"))
+            merged = merged.unionByName(by_key(base, touched, key, "left_anti"))
         merged = merged.drop("_gen")
     write_parquet(merged, f"{path}/data/snapshot={number}")
-    spark.range(1).select(F.lit(number).cast("long").alias("snapshot")).write.mode("append").parquet(f"{path}/commits")
+    entry = spark.range(1).select(
+        F.lit(number).cast("long").alias("snapshot"), F.lit(writer).alias("writer"), F.lit(batch_id).cast("long").alias("batch")
+    )
+    entry.write.mode("append").parquet(f"{path}/commits")
+    if number > keep:
+        _expire(spark, path, number - keep)
     return number

@@ -8,10 +8,12 @@ from operator import and_, or_
 
 from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from starloom.operators.dedup import duplicated_keys, one_per_key
+
 # Partitions that may be named one by one in a filter.
 PRUNED_PARTITIONS = 500
 
@@ -109,15 +111,25 @@ def read_target(spark: SparkSession, path: str, schema: T.StructType | str) -> D
         raise
 
 
+def same_key(left: str, right: str, key: Sequence[str]) -> Column:
+    """Null-safe equality of two aliased frames' keys: a null, alone or in a part of the key, equals a null."""
+    return reduce(and_, [F.col(f"{left}.`{c}`").eqNullSafe(F.col(f"{right}.`{c}`")) for c in key])
+
+
+def by_key(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> DataFrame:
+    """Semi or anti join on a null-safe key."""
+    return left.alias("_l").join(right.select(*key).alias("_r"), same_key("_l", "_r", key), how)
+
+
 def _existing_keys(batch: DataFrame, target: DataFrame, key: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
     """Target keys that the batch could collide with.
 
-    Where the target is partitioned, the batch's partitions become a literal
-    filter, so an hourly load lists and reads its own days and not the history.
-    A batch that touches more than ``PRUNED_PARTITIONS`` reads all keys.
+    Where the partition columns are part of the key, the batch's partitions
+    become a literal filter, so an hourly load lists and reads its own days and
+    not the history. Otherwise a key may have moved, and all keys are read.
     """
-    keys = target.select(*dict.fromkeys([*key, *partition_by]))
-    if partition_by:
+    keys = target.select(*key)
+    if partition_by and set(partition_by) <= set(key):
         touched = batch.select(*partition_by).distinct().limit(PRUNED_PARTITIONS + 1).collect()
         if len(touched) <= PRUNED_PARTITIONS:
             hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()]) for row in touched]
@@ -128,28 +140,28 @@ def _existing_keys(batch: DataFrame, target: DataFrame, key: Sequence[str], part
 def append_new(batch: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:
     """Append only rows whose key is new, so a repeated load changes nothing.
 
-    Within the batch one row per key is kept. ``partition_by`` columns must
-    follow from the key (the same key never moves to another partition).
+    Within the batch one row per key is kept, chosen by all its columns. Nulls
+    in the key equal each other. A key counts as known in whatever partition it
+    stands; to read the touched partitions only, make them part of the key.
     """
     spark = batch.sparkSession
-    fresh = batch.dropDuplicates(list(key))
+    fresh = one_per_key(batch, list(key))
     target = read_target(spark, path, batch.schema)
     if target is not None:
-        known = _existing_keys(batch, target, key, partition_by)
-        fresh = fresh.join(known.select(*key), list(key), "left_anti")
+        fresh = by_key(fresh, _existing_keys(batch, target, key, partition_by), key, "left_anti")
     append(fresh, path, partition_by=partition_by)
 
 
 def append_unique(batch: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:
-    """Append, refusing the whole batch when a key is not new."""
-    repeated = batch.groupBy(*key).agg(F.count("*").alias("n")).where(F.col("n") > 1)
-    clash = repeated.select(*key).limit(1).collect()
+    """Append, refusing the whole batch when a key is not new. Nulls in the key equal each other."""
+    clash = duplicated_keys(batch, list(key)).limit(1).collect()
     target = read_target(batch.sparkSession, path, batch.schema)
     if not clash and target is not None:
         known = _existing_keys(batch, target, key, partition_by)
-        clash = batch.select(*key).join(known.select(*key), list(key), "left_semi").limit(1).collect()
+        clash = by_key(batch.select(*key), known, key, "left_semi").limit(1).collect()
     if clash:
-        raise DuplicateKeyError(f"key {clash[0].asDict()} is not new in {path}")
+        found = {c: v for c, v in clash[0].asDict().items() if c in key}
+        raise DuplicateKeyError(f"key {found} is not new in {path}")
     append(batch, path, partition_by=partition_by)
 
 

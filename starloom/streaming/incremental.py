@@ -72,10 +72,11 @@ def dimension_sink(
     order: Sequence[str | Column],
     shape: Callable[[DataFrame], DataFrame] = lambda df: df,
 ) -> BatchSink:
-    """Keep the latest row per key; the micro-batch number names the snapshot."""
+    """Keep the latest row per key. A micro-batch is known by its stream's id and number, so a replay is no second merge."""
 
     def write(batch: DataFrame, number: int) -> None:
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or ""
         with _held(shape(batch)) as rows:
-            upsert(rows, path, key, order, number=number)
+            upsert(rows, path, key, order, writer=stream, batch_id=number)
 
     return write

@@ -5,7 +5,7 @@ from starloom.operators import quality as q
 
 @pytest.fixture(scope="module")
 def good(spark):
-    return spark.createDataFrame([(1, "free", 10, 1.0), (2, "paid", 53, 2.0), (3, None, None, None)], "k int, level string, n int, x double")
+    return spark.createDataFrame([(1, "free", 10, 1.0), (2, "paid", 53, 2.0), (3, "free", 1, 3.0)], "k int, level string, n int, x double")
 
 
 @pytest.fixture(scope="module")
@@ -31,6 +31,14 @@ def test_check_tells_good_from_bad(good, bad, name):
     assert not q.run_checks({"t": (bad, [CHECKS[name]])}).first()["passed"]
 
 
+def test_null_and_overflow_fail(spark):
+    df = spark.createDataFrame([("free", 5, 1e30), (None, None, 2.0)], "level string, n int, x double")
+    checks = [q.in_set("level", ["free"]), q.in_range("n", 1, 9), q.lossy_cast("x", "decimal(18,0)")]
+    assert [r["value"] for r in q.run_checks({"t": (df, checks)}).collect()] == [1.0, 1.0, 1.0]
+    allowed = [q.in_set("level", ["free"], allow_null=True), q.in_range("n", 1, 9, allow_null=True)]
+    assert [r["value"] for r in q.run_checks({"t": (df, allowed)}).collect()] == [0.0, 0.0]
+
+
 def test_empty_table(spark, good):
     empty = good.limit(0)
     got = {r["check"]: r["passed"] for r in q.run_checks({"t": (empty, [q.not_empty(), q.lowest("x", lambda v: v > 0), q.unique("k")])}).collect()}

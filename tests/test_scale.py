@@ -1,3 +1,4 @@
+import pytest
 import random
 
 from pyspark.sql import functions as F
@@ -44,3 +45,26 @@ def test_measuring_a_large_table_stops_early(spark):
     late = F.when(F.col("id") >= 5000, F.raise_error(F.lit("read too far")).cast("string")).otherwise(F.lit("x"))
     df = spark.range(0, 10_000, 1, 100).select(late.alias("text"))
     assert not scale.is_small(df, max_rows=50)
+
+
+def test_a_cluster_needs_a_shared_folder(monkeypatch):
+    class Conf(dict):
+        def get(self, key, default=None):
+            return super().get(key, default)
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf, sparkContext = Conf(), Context()
+
+    with pytest.raises(RuntimeError, match="spark.checkpoint.dir"):
+        scale.shared_folder(Session())
+    Session.conf["spark.checkpoint.dir"] = "s3a://shared/tmp"
+    assert scale.shared_folder(Session()) == "s3a://shared/tmp"
+    Session.conf.clear()
+    Context.master = "local[4]"
+    assert scale.shared_folder(Session()) == scale.shared_folder(Session())

@@ -65,6 +65,18 @@ def test_read_union_projects_drifted_files(spark, tmp_path):
     assert rows(readers.read_union(spark, both, "k int, v string", fmt="csv")) == [(1, "x"), (2, "y")]
 
 
+def test_read_union_groups_drifted_csv_of_one_folder(spark, tmp_path):
+    (tmp_path / "a.csv").write_text("x,y\n1,2\n")
+    (tmp_path / "b.csv").write_text("x,extra,y\n3,e,4\n")
+    (tmp_path / "c.csv").write_text("x,y\n5,6\n")
+    assert rows(readers.read_union(spark, [str(tmp_path)], "x int, y int", fmt="csv")) == [(1, 2), (3, 4), (5, 6)]
+    with pytest.raises(ValueError, match="absent"):
+        readers.read_union(spark, [str(tmp_path)], "x int, absent int", fmt="csv")
+    spark.range(2).write.parquet(str(tmp_path / "p"))
+    with pytest.raises(ValueError, match="absent"):
+        readers.read_union(spark, [str(tmp_path / "p")], "id long, absent int")
+
+
 def test_union_keeps_duplicates(spark):
     df = spark.createDataFrame([(1, 2)], "a int, b int")
     assert rows(readers.union_frames([df, df.select("b", "a")], ["a", "b"])) == [(1, 2), (1, 2)]

@@ -44,3 +44,9 @@ def test_dimension_follows_the_latest_state(spark, tmp_path):
         drop_file(source, f"{name}.json", records)
         load_stream(spark, str(source), SCHEMA, sink, str(tmp_path / "progress"))
     assert rows(read_snapshot(spark, target)) == [(1, 9, "paid"), (2, 5, "free")]
+    # a lost checkpoint replays all files into a stream of another id, and later files still count
+    drop_file(source, "c.json", [(5, 3, 1, "free")])
+    load_stream(spark, str(source), SCHEMA, sink, str(tmp_path / "lost"))
+    drop_file(source, "d.json", [(6, 1, 10, "free")])
+    load_stream(spark, str(source), SCHEMA, sink, str(tmp_path / "lost"))
+    assert rows(read_snapshot(spark, target)) == [(1, 10, "free"), (2, 5, "free"), (3, 1, "free")]

@@ -63,14 +63,51 @@ def test_append_new_twice_equals_once(spark, tmp_path, parts):
 def test_append_new_reads_only_touched_partitions(spark, tmp_path):
     path = str(tmp_path / "t")
     batch = spark.createDataFrame([("a", 1), ("b", 2)], "k string, p int")
-    writers.append_new(batch, path, ["k"], ["p"])
+    writers.append_new(batch, path, ["k", "p"], ["p"])
     target = writers.read_target(spark, path, batch.schema)
-    known = writers._existing_keys(batch.where("p = 1"), target, ["k"], ["p"])
+    known = writers._existing_keys(batch.where("p = 1"), target, ["k", "p"], ["p"])
     assert rows(known) == [("a", 1)]
     scan = known._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [(p#" in scan and "<=> 1)" in scan
 
 
+NULL_KEYS = "k int, j string, v int"
+
+
+def test_null_keys_equal_each_other(spark, tmp_path):
+    path = str(tmp_path / "t")
+    batch = spark.createDataFrame([(None, "a", 1), (None, None, 2), (1, None, 3), (1, "a", 4), (None, None, 1)], NULL_KEYS)
+    for _ in range(3):
+        writers.append_new(batch, path, ["k", "j"])
+    assert rows(spark.read.parquet(path)) == rows(spark.createDataFrame([(None, "a", 1), (None, None, 1), (1, None, 3), (1, "a", 4)], NULL_KEYS))
+    for row in ((None, None, 9), (1, None, 9)):
+        with pytest.raises(writers.DuplicateKeyError):
+            writers.append_unique(spark.createDataFrame([row], NULL_KEYS), path, ["k", "j"])
+    writers.append_unique(spark.createDataFrame([(2, None, 9)], NULL_KEYS), path, ["k", "j"])
+
+
+@pytest.mark.parametrize("most", [500, 0])
+def test_a_key_that_moved_is_known_in_any_partition(spark, tmp_path, monkeypatch, most):
+    monkeypatch.setattr(writers, "PRUNED_PARTITIONS", most)
+    path = str(tmp_path / "t")
+    writers.append_new(spark.createDataFrame([(1, "a"), (2, "b")], "k int, p string"), path, ["k"], ["p"])
+    moved = spark.createDataFrame([(1, "b"), (3, "a")], "k int, p string")
+    with pytest.raises(writers.DuplicateKeyError):
+        writers.append_unique(moved, path, ["k"], ["p"])
+    writers.append_new(moved, path, ["k"], ["p"])
+    assert rows(spark.read.parquet(path).select("k", "p")) == [(1, "a"), (2, "b"), (3, "a")]
+
+
+@pytest.mark.parametrize("small", [True, False])
+def test_upsert_null_keys(spark, tmp_path, monkeypatch, small):
+    if not small:
+        monkeypatch.setattr(snapshots, "size_checked", lambda df, measure=None: (df, False))
+    path = str(tmp_path / "t")
+    snapshots.upsert(spark.createDataFrame([(None, 1), (7, 1)], "k int, t int"), path, ["k"], ["t"])
+    snapshots.upsert(spark.createDataFrame([(None, 2)], "k int, t int"), path, ["k"], ["t"])
+    assert rows(snapshots.read_snapshot(spark, path)) == rows(spark.createDataFrame([(None, 2), (7, 1)], "k int, t int"))
+
+
 def test_append_unique_refuses(spark, tmp_path):
     path = str(tmp_path / "t")
     df = spark.createDataFrame([(1,), (2,)], "k int")
@@ -111,11 +148,11 @@ def test_upsert_by_order_and_by_arrival(spark, tmp_path):
     late = spark.createDataFrame([(1, 3, "late"), (3, 1, "new")], "k int, t int, v string")
     by_order, by_arrival = str(tmp_path / "o"), str(tmp_path / "a")
     for path, wins in ((by_order, False), (by_arrival, True)):
-        assert snapshots.upsert(first, path, ["k"], ["t"], arrival_wins=wins) == 0
-        assert snapshots.upsert(late, path, ["k"], ["t"], arrival_wins=wins) == 1
+        assert snapshots.upsert(first, path, ["k"], ["t"], arrival_wins=wins) == 1
+        assert snapshots.upsert(late, path, ["k"], ["t"], arrival_wins=wins) == 2
     assert rows(snapshots.read_snapshot(spark, by_order)) == [(1, 5, "old"), (2, 5, "keep"), (3, 1, "new")]
     assert rows(snapshots.read_snapshot(spark, by_arrival)) == [(1, 3, "late"), (2, 5, "keep"), (3, 1, "new")]
-    assert rows(snapshots.read_snapshot(spark, by_order, 0)) == [(1, 5, "old"), (2, 5, "keep")]
+    assert rows(snapshots.read_snapshot(spark, by_order, 1)) == [(1, 5, "old"), (2, 5, "keep")]
 
 
 def test_upsert_large_batch_takes_the_shuffle_path(spark, tmp_path, monkeypatch):
@@ -131,13 +168,24 @@ def test_uncommitted_snapshot_is_invisible_and_redone(spark, tmp_path):
     with pytest.raises(FileNotFoundError):
         snapshots.read_snapshot(spark, path)
     base = spark.createDataFrame([(1, 1)], "k int, t int")
-    snapshots.upsert(base, path, ["k"], ["t"], number=0)
-    spark.createDataFrame([(9, 9)], "k int, t int").write.parquet(f"{path}/data/snapshot=1")
+    snapshots.upsert(base, path, ["k"], ["t"], writer="w", batch_id=0)
+    spark.createDataFrame([(9, 9)], "k int, t int").write.parquet(f"{path}/data/snapshot=2")
     assert rows(snapshots.read_snapshot(spark, path)) == [(1, 1)]
     batch = spark.createDataFrame([(2, 1)], "k int, t int")
     for _ in range(2):
-        snapshots.upsert(batch, path, ["k"], ["t"], number=1)
+        assert snapshots.upsert(batch, path, ["k"], ["t"], writer="w", batch_id=1) == 2
         assert rows(snapshots.read_snapshot(spark, path)) == [(1, 1), (2, 1)]
+    # another writer starts its count anew: its batch 0 is no replay
+    assert snapshots.upsert(spark.createDataFrame([(3, 1)], "k int, t int"), path, ["k"], ["t"], writer="x", batch_id=0) == 3
+    assert rows(snapshots.read_snapshot(spark, path)) == [(1, 1), (2, 1), (3, 1)]
+
+
+def test_old_snapshots_expire(spark, tmp_path):
+    path = str(tmp_path / "t")
+    for i in range(4):
+        snapshots.upsert(spark.createDataFrame([(i, 1)], "k int, t int"), path, ["k"], ["t"], keep=2)
+    assert sorted(p.name for p in (tmp_path / "t" / "data").iterdir() if not p.name.startswith(".")) == ["snapshot=3", "snapshot=4"]
+    assert len(rows(snapshots.read_snapshot(spark, path))) == 4
 
 
 def test_partitioned_write_splits_a_hot_value(spark):
