@@ -243,3 +243,66 @@ def stream_upsert(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_stream(spark, f"{path}/in", EVENT_FIELDS, dimension_sink(f"{path}/users", ["user_id"], ["ts", "event_id"]),
                 f"{path}/progress", max_files=8)
     return read_snapshot(spark, f"{path}/users").select("user_id", "event_id", "event_type")
+
+
+@query("SELECT CASE WHEN user_id % 7 > 0 THEN user_id END AS k, count(DISTINCT event_type) AS n FROM events GROUP BY 1")
+def append_new_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A key with nulls in it, loaded three times, is there once per event type."""
+    path = scratch(spark, "null-keys")
+    key = F.when(F.col("user_id") % 7 > 0, F.col("user_id"))
+    batch = table(spark, sf_dir, "events").select(key.alias("k"), "event_type", "event_id")
+    for _ in range(3):
+        writers.append_new(batch, path, ["k", "event_type"])
+    return readers.read_parquet(spark, path).groupBy("k").agg(F.count("*").alias("n"))
+
+
+@query("""SELECT CASE WHEN o_custkey % 5 > 0 THEN o_custkey END AS k, max(o_orderkey) AS o_orderkey, path
+FROM orders, (VALUES ('small'), ('large')) p(path) GROUP BY ALL""")
+def upsert_null_keys(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A null key is one key, whether a batch is small or takes the shuffle path."""
+    orders = table(spark, sf_dir, "orders").select(F.when(F.col("o_custkey") % 5 > 0, F.col("o_custkey")).alias("k"), "o_orderkey")
+    tail = F.col("o_orderkey") % 100 == 0
+    results = []
+    for name, batches in {"small": [orders.where(~tail), orders.where(tail)], "large": [orders.where(tail), orders]}.items():
+        path = scratch(spark, f"upsert-{name}")
+        for batch in batches:
+            upsert(batch, path, ["k"], ["o_orderkey"])
+        results.append(read_snapshot(spark, path).withColumn("path", F.lit(name)))
+    return readers.union_frames(results, ["k", "o_orderkey", "path"])
+
+
+@query("SELECT o_orderstatus, count(*) AS n, true AS refused FROM orders GROUP BY ALL")
+def append_unique_moved_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keys that come again in another partition are refused, and nothing is written."""
+    path, refused = scratch(spark, "moved"), False
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus")
+    writers.append_unique(orders, path, ["o_orderkey"], ["o_orderstatus"])
+    try:
+        writers.append_unique(orders.withColumn("o_orderstatus", F.lit("X")), path, ["o_orderkey"], ["o_orderstatus"])
+    except writers.DuplicateKeyError:
+        refused = True
+    stored = readers.read_parquet(spark, path).groupBy("o_orderstatus").agg(F.count("*").alias("n"))
+    return stored.withColumn("refused", F.lit(refused))
+
+
+@query("SELECT o_orderkey, o_custkey FROM orders")
+def union_drifted_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """CSV files of one folder with different headers, one with an extra column in the middle."""
+    path = scratch(spark, "drift")
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderstatus", "o_custkey")
+    even = F.col("o_orderkey") % 2 == 0
+    orders.where(even).write.option("header", True).csv(path)
+    orders.where(~even).drop("o_orderstatus").write.option("header", True).mode("append").csv(path)
+    return readers.read_union(spark, [path], "o_orderkey bigint, o_custkey bigint", fmt="csv")
+
+
+@query("""SELECT user_id, event_id, event_type FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id ORDER BY epoch_us(ts) // 1000 DESC, event_id DESC) = 1""")
+def stream_upsert_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Two folders are streamed; then, with a fresh checkpoint, those again and the third."""
+    path = scratch(spark, "restart")
+    _event_files(spark, sf_dir, f"{path}/in")
+    sink = dimension_sink(f"{path}/users", ["user_id"], ["ts", "event_id"])
+    load_stream(spark, f"{path}/in/batch=[01]", EVENT_FIELDS, sink, f"{path}/progress-0", max_files=8)
+    load_stream(spark, f"{path}/in", EVENT_FIELDS, sink, f"{path}/progress-1", max_files=8)
+    return read_snapshot(spark, f"{path}/users").select("user_id", "event_id", "event_type")
