@@ -71,11 +71,15 @@ def _descend(root: Column, parts: Sequence[str]) -> Column:
     return reduce(lambda c, part: c.getField(part), parts, root)
 
 
-def json_fields(text: Column, paths: Mapping[str, str], schema: Schema) -> list[Column]:
-    """Columns picked out of a JSON text column by field paths, with a single parse per row."""
+def json_fields(df: DataFrame, text: str, paths: Mapping[str, str], schema: Schema) -> DataFrame:
+    """``df`` with columns picked out of a JSON text column by field paths, with a single parse per row.
+
+    The parsed record is a generator's output, which the optimiser does not copy
+    into every picked column.
+    """
     nested, parts = _by_paths(paths, _struct(schema))
-    parsed = F.from_json(text, nested)
-    return [_descend(parsed, p).alias(name) for name, p in parts.items()]
+    parsed = df.select("*", F.explode(F.array(F.from_json(text, nested))).alias("_json"))
+    return parsed.select(*df.columns, *[_descend(F.col("_json"), p).alias(name) for name, p in parts.items()])
 
 
 def stage_json(spark: SparkSession, path: str | list[str], schema: Schema, paths: Mapping[str, str] | str = "auto") -> DataFrame:

@@ -56,8 +56,7 @@ def read_json_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, json_extract_string(props, '$.k')::INTEGER AS k FROM events")
 def stage_json_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    fields = readers.json_fields(F.col("props"), {"k": "$.k"}, "k int")
-    return table(spark, sf_dir, "events").select("event_id", *fields)
+    return readers.json_fields(table(spark, sf_dir, "events").select("event_id", "props"), "props", {"k": "$.k"}, "k int").drop("props")
 
 
 def _records(spark: SparkSession, sf_dir: str) -> DataFrame:

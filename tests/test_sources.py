@@ -96,3 +96,10 @@ def test_register_and_parquet_pruning(spark, tmp_path):
 def test_missing_path_raises(spark, tmp_path):
     with pytest.raises(AnalysisException):
         readers.read_parquet(spark, str(tmp_path / "nothing"))
+
+
+def test_json_text_is_parsed_once(spark):
+    df = spark.createDataFrame([(1, '{"a": {"b": 2}, "c": "x", "d": 1.5}'), (2, None), (3, "no json")], "k int, t string")
+    got = readers.json_fields(df, "t", {"b": "$.a.b", "c": "$['c']", "d": "$.d"}, "b int, c string, d double").drop("t")
+    assert rows(got) == [(1, 2, "x", 1.5), (2, None, None, None), (3, None, None, None)]
+    assert got._jdf.queryExecution().optimizedPlan().toString().count("from_json") == 1
