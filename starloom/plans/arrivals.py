@@ -26,7 +26,7 @@ from starloom.operators.joins import enrich, keep_if_valid
 from starloom.operators.projection import cast_columns, rename
 from starloom.operators.windows import count_previous
 from starloom.sources.readers import read_csv
-from starloom.sources.writers import load_dimension, write_parquet, write_partitions
+from starloom.sources.writers import append_new, by_key, load_dimension, read_target, touched_rows, write_partitions
 
 # Raw field names and the names they get here.
 FIELD_NAMES = {
@@ -192,6 +192,35 @@ def daily_counts(fact: DataFrame, countries: DataFrame, code: str = "country_cit
     return joined.groupBy(label, *days).agg(F.sum("n").alias("count"))
 
 
+class LateArrivalError(ValueError):
+    """A batch holds days before arrivals of the same persons that are stored already."""
+
+
+def stays(typed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Arrivals per known person and day, before any are dropped for their countries."""
+    days = list(dict.fromkeys(["admnum", "arrival_date", *partition_by]))
+    return typed.where(F.col("admnum").isNotNull()).groupBy(*days).agg(F.count("*").alias("n"))
+
+
+def with_stored_stays(clean: DataFrame, batch_stays: DataFrame, ledger: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Add the stays of earlier loads to those counted in the batch.
+
+    Partitions that the batch replaces do not count. A batch older than stored
+    stays of its persons is refused: their later rows would need new numbers.
+    """
+    prior = by_key(ledger, batch_stays.select(*partition_by).distinct(), partition_by, "left_anti").select(
+        F.col("admnum").alias("_person"), F.col("arrival_date").alias("_date"), F.col("n").alias("_n")
+    )
+    visits = batch_stays.select("admnum", "arrival_date").distinct()
+    met = visits.join(prior, F.col("admnum") == F.col("_person"))
+    late = met.where(F.col("_date") >= F.col("arrival_date")).limit(1).collect()
+    if late:
+        raise LateArrivalError(f"person {late[0]['admnum']} arrives on {late[0]['arrival_date']}, and is stored on {late[0]['_date']}")
+    earlier = met.groupBy("admnum", "arrival_date").agg(F.sum("_n").alias("_earlier"))
+    added = F.col("num_previous_stays") + F.coalesce("_earlier", F.lit(0))
+    return clean.join(earlier, ["admnum", "arrival_date"], "left").withColumn("num_previous_stays", added).select(*clean.columns)
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -202,15 +231,27 @@ def run(
 ) -> None:
     """Raw records to the fact, its dimensions and the feature table.
 
-    With partitions by day, a daily run replaces its own day only.
+    A daily run replaces the partitions of its own days in the fact, the
+    feature table and the counts, and adds new visa types. Earlier stays come
+    from ``stays``, a ledger of arrivals per person and day; running a day again
+    gives the same rows, and a day before stored days of its persons is refused
+    with :class:`LateArrivalError` before anything is written.
 
     The fact is written once; the outputs derived from it read the columns they
     need back from storage instead of repeating the joins and the window.
     """
     fact_path = f"{out}/immigration"
-    write_partitions(enrich_arrivals(clean_arrivals(raw, tie), dims), fact_path, partition_by)
-    fact = spark.read.parquet(fact_path)
-    for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp, "visa_type": visa_types(fact)}.items():
+    batch_stays = stays(typed_arrivals(raw, tie), partition_by)
+    clean = clean_arrivals(raw, tie)
+    ledger = read_target(spark, f"{out}/stays", batch_stays.schema)
+    if ledger is not None:
+        clean = with_stored_stays(clean, batch_stays, ledger, partition_by)
+    write_partitions(enrich_arrivals(clean, dims), fact_path, partition_by)
+    write_partitions(batch_stays, f"{out}/stays", partition_by)
+    for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp}.items():
         load_dimension(dimension, f"{out}/{name}")
-    write_parquet(ml_features(fact, spark.read.parquet(f"{out}/gdp")), f"{out}/ml_data")
-    write_parquet(daily_counts(fact, dims.iso), f"{out}/immigration_stats", compact=True)
+    fact = touched_rows(spark.read.parquet(fact_path), batch_stays, partition_by)
+    append_new(visa_types(fact), f"{out}/visa_type", ["visa_type", "visa_category"])
+    features = list(dict.fromkeys([*FEATURE_COLUMNS, *partition_by]))
+    write_partitions(ml_features(fact, spark.read.parquet(f"{out}/gdp"), features), f"{out}/ml_data", partition_by)
+    write_partitions(daily_counts(fact, dims.iso), f"{out}/immigration_stats", partition_by)

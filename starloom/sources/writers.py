@@ -121,20 +121,29 @@ def by_key(left: DataFrame, right: DataFrame, key: Sequence[str], how: str) -> D
     return left.alias("_l").join(right.select(*key).alias("_r"), same_key("_l", "_r", key), how)
 
 
+def touched_rows(df: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Rows of ``df`` in the partitions that occur in ``batch``.
+
+    Up to ``PRUNED_PARTITIONS`` they become a literal filter, so only their
+    folders are listed and read; beyond that it is a join, with the same result.
+    """
+    touched = batch.select(*partition_by).distinct()
+    named = touched.limit(PRUNED_PARTITIONS + 1).collect()
+    if len(named) > PRUNED_PARTITIONS:
+        return by_key(df, touched, partition_by, "left_semi")
+    hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()]) for row in named]
+    return df.where(reduce(or_, hits, F.lit(False)))
+
+
 def _existing_keys(batch: DataFrame, target: DataFrame, key: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
     """Target keys that the batch could collide with.
 
-    Where the partition columns are part of the key, the batch's partitions
-    become a literal filter, so an hourly load lists and reads its own days and
-    not the history. Otherwise a key may have moved, and all keys are read.
+    Where the partition columns are part of the key, only the batch's partitions
+    are read, so an hourly load reads its own days and not the history.
+    Otherwise a key may have moved, and all keys are read.
     """
     keys = target.select(*key)
-    if partition_by and set(partition_by) <= set(key):
-        touched = batch.select(*partition_by).distinct().limit(PRUNED_PARTITIONS + 1).collect()
-        if len(touched) <= PRUNED_PARTITIONS:
-            hits = [reduce(and_, [F.col(c).eqNullSafe(F.lit(v)) for c, v in row.asDict().items()]) for row in touched]
-            keys = keys.where(reduce(or_, hits, F.lit(False)))
-    return keys
+    return touched_rows(keys, batch, partition_by) if partition_by and set(partition_by) <= set(key) else keys
 
 
 def append_new(batch: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:

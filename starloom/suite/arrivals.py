@@ -182,3 +182,41 @@ def arrivals_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name in names
     ]
     return union_frames(counts, ["table", "n"])
+
+
+# a record without a date has no place in loads by date
+_DATED = _FACT.replace("FROM raw", "FROM raw WHERE arrdate >= 0", 1)
+
+
+@query(f"""{_DATED}, {_DAILY}
+SELECT 'fact' AS "table", year, month, count(*) AS n, sum(num_previous_stays)::BIGINT AS stays, max(num_previous_stays)::BIGINT AS most,
+  count(DISTINCT admnum) AS persons, sum(age)::BIGINT AS total, min(arrival_date)::VARCHAR AS first_date FROM fact GROUP BY ALL
+UNION ALL SELECT 'immigration_stats', year, month, count(*), sum(count)::BIGINT, max(count)::BIGINT, count(DISTINCT country_code_iso_2),
+  sum(day)::BIGINT, NULL FROM daily GROUP BY ALL
+UNION ALL SELECT 'visa_type', NULL, NULL, count(*), NULL, NULL, count(DISTINCT visa_type), NULL, NULL
+  FROM (SELECT DISTINCT visa_type, visa_category FROM fact)""")
+def arrivals_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The records loaded year by year, the last year twice, against one full load."""
+    path, dims = scratch(spark, "daily"), dimensions(spark, sf_dir)
+    raw = stored(raw_arrivals(spark, sf_dir).where("arrdate >= 0"), "raw")
+    years = [r[0] for r in raw.select("i94yr").distinct().orderBy("i94yr").collect()]
+    for year in [*years, years[-1]]:
+        plan.run(spark, raw.where(F.col("i94yr") == year), dims, path, ["cicid"], ["year", "month"])
+    fact, daily, visas = (spark.read.parquet(f"{path}/{t}") for t in ("immigration", "immigration_stats", "visa_type"))
+    whole = lambda c, name: c.cast("long").alias(name)
+    of_fact = fact.groupBy("year", "month").agg(
+        F.count("*").alias("n"), whole(F.sum("num_previous_stays"), "stays"), whole(F.max("num_previous_stays"), "most"),
+        F.count_distinct("admnum").alias("persons"), whole(F.sum("age"), "total"), F.min("arrival_date").cast("string").alias("first_date"),
+    )
+    of_days = daily.groupBy("year", "month").agg(
+        F.count("*").alias("n"), whole(F.sum("count"), "stays"), whole(F.max("count"), "most"),
+        F.count_distinct("country_code_iso_2").alias("persons"), whole(F.sum("day"), "total"), F.lit(None).cast("string").alias("first_date"),
+    )
+    none = lambda kind, name: F.lit(None).cast(kind).alias(name)
+    of_visas = visas.agg(F.count("*").alias("n"), F.count_distinct("visa_type").alias("persons")).select(
+        none("int", "year"), none("int", "month"), "n", none("long", "stays"), none("long", "most"), "persons", none("long", "total"),
+        none("string", "first_date"),
+    )
+    columns = ["table", "year", "month", "n", "stays", "most", "persons", "total", "first_date"]
+    frames = {"fact": of_fact, "immigration_stats": of_days, "visa_type": of_visas}
+    return union_frames([df.withColumn("table", F.lit(name)) for name, df in frames.items()], columns)

@@ -1,6 +1,7 @@
 import datetime as dt
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom.plans import arrivals as plan
 from tests.conftest import rows
@@ -114,11 +115,24 @@ def test_outputs(spark, raw, dims, tmp_path):
     assert fact.rdd.getNumPartitions() >= 1 and (tmp_path / "immigration/year=2016/month=4/day=22").is_dir()
     assert rows(spark.read.parquet(f"{out}/visa_type")) == [("B2", "Other"), ("B2", "Pleasure")]
     ml = spark.read.parquet(f"{out}/ml_data")
-    assert ml.columns == list(plan.FEATURE_COLUMNS)
+    assert sorted(ml.columns) == sorted({*plan.FEATURE_COLUMNS, "year"})
     assert rows(ml.select("country_citizenship_gdp", "country_residence_gdp").distinct()) == [
         (18624475000000, 18624475000000), (18624475000000, None),
     ]
-    assert rows(spark.read.parquet(f"{out}/immigration_stats")) == [("MX", 2016, 4, 22, 10), ("MX", 2016, 4, 23, 2)]
+    stats = spark.read.parquet(f"{out}/immigration_stats").select("country_code_iso_2", "year", "month", "day", "count")
+    assert rows(stats) == [("MX", 2016, 4, 22, 10), ("MX", 2016, 4, 23, 2)]
+    before = rows(fact.select("admnum", "arrival_date", "num_previous_stays"))
+    # the same persons a year on: their stays so far count, and the first year's rows stay as they are
+    later = raw.withColumns({"arrdate": F.col("arrdate") + 365, "i94yr": F.lit(2017.0)})
+    plan.run(spark, later, dims, out, tie=["cicid"])
+    fact = spark.read.parquet(f"{out}/immigration")
+    assert rows(fact.where("year = 2016").select("admnum", "arrival_date", "num_previous_stays")) == before
+    known = fact.where("admnum > 0").groupBy("admnum").agg(F.max("num_previous_stays").alias("most"), F.count("*").alias("n"))
+    assert known.where("most + 1 < n").count() == 0
+    early = raw.withColumns({"arrdate": F.col("arrdate") - 800, "i94yr": F.lit(2013.0)})
+    with pytest.raises(plan.LateArrivalError):
+        plan.run(spark, early, dims, out, tie=["cicid"])
+    assert not (tmp_path / "immigration/year=2013").exists()
 
 
 def test_no_python_in_the_plan(raw, dims):
