@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from starloom.scale import stable
+from starloom.scale import stable, stored
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -14,15 +14,18 @@ def components(links: DataFrame) -> DataFrame:
     Alternating star contraction: each round links every node's larger
     neighbours to the smallest one, then every node and its smaller neighbours to
     the smallest one. Rounds grow with the logarithm of the longest path. Each
-    round is a reliable checkpoint; the driver sees a count and a sum per round.
+    round's links are a written table, so the planner knows their size anew and
+    does not multiply estimates from round to round; the driver sees a count and
+    a sum per round.
     A hub's links are two columns of longs and aggregate before the shuffle; the
     joins are plain shuffles, which Spark splits where a hub is hot. Self-links
     and repeated links do no harm; null ends are left out.
     """
-    edges = stable(
+    edges = stored(
         links.where("a is not null and b is not null and a <> b")
         .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v"))
-        .distinct()
+        .distinct(),
+        "links",
     )
     mark = lambda e: tuple(e.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
     before = mark(edges)
@@ -30,16 +33,16 @@ def components(links: DataFrame) -> DataFrame:
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
         least = stable(both.groupBy("u").agg(F.least(F.min("v"), F.first("u")).alias("m")))
         large = both.where("v > u").join(least, "u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
-        large = stable(large)
-        lowest = stable(large.groupBy("u").agg(F.min("v").alias("m")))
+        lowest = large.groupBy("u").agg(F.min("v").alias("m"))  # few smaller neighbours are left to any node
+        pair = lambda u, v: F.struct(F.col(u).alias("u"), F.col(v).alias("v"))
         small = (
             large.join(lowest, "u")
-            .select(F.explode(F.array(F.struct(F.col("u").alias("u"), F.col("m").alias("v")), F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
+            .select(F.explode(F.array(pair("u", "m"), pair("v", "m"))).alias("e"))
             .select("e.u", "e.v")
             .where("u <> v")
             .distinct()
         )
-        edges = stable(small)
+        edges = stored(small, "links")
         after = mark(edges)
         if after == before:
             break
