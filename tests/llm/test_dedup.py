@@ -60,6 +60,14 @@ def test_near_family_beyond_its_centre(spark):
     assert {got[i] for i in range(40)} == {0}
 
 
+def test_texts_of_one_id_join_their_components(spark):
+    a, b = " ".join(f"a{i}" for i in range(60)), " ".join(f"b{i}" for i in range(60))
+    rows = [(1, a), (2, a), (2, b), (3, b + " tail"), (4, "other words"), (None, a), (5, "")]
+    got = {(r.doc_id, r.n_shingles): r.component_id for r in minhash_dedup(corpus.frame(spark, rows[:5] + rows[6:])).collect()}
+    assert got == {(1, 56): 1, (2, 56): 1, (3, 57): 1, (4, 1): 4, (5, 0): 5}
+    assert {r.component_id for r in minhash_dedup(corpus.frame(spark, rows)).where("n_shingles > 50").collect()} == {None}
+
+
 def test_lines(spark):
     got = collected(line_dedup(corpus.frame(spark, ROWS)), "doc_id", "text", "n_lines", "n_dropped")
     assert got == expected(corpus.lines(ROWS))
