@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from starloom.llm.rows import shuffle_parts
 
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 2
 MESSAGE = "_bucket long, _b int, payload binary"
 _SCHEMA = pa.schema([("_bucket", pa.int64()), ("_b", pa.int32()), ("payload", pa.binary())])
 
@@ -41,9 +41,9 @@ class DistinctRows:
         self.row = np.cumsum(fresh) - 1
 
 
-def bucket_bits(docs: DataFrame, per_partition: int = BLOCKS_PER_PARTITION) -> int:
-    """Buckets are a power of two, ``per_partition`` or more for each shuffle partition."""
-    return (per_partition * shuffle_parts(docs) - 1).bit_length()
+def bucket_bits(docs: DataFrame) -> int:
+    """Buckets are a power of two, one or more for each shuffle partition: messages are blocks times buckets at most."""
+    return (shuffle_parts(docs) - 1).bit_length()
 
 
 def with_blocks(rows: DataFrame, ordered: bool) -> DataFrame:
@@ -56,7 +56,7 @@ def with_blocks(rows: DataFrame, ordered: bool) -> DataFrame:
     if not ordered:
         return rows.withColumn("_b", F.pmod(F.xxhash64("_d", "_h"), F.lit(blocks)).cast("int"))
     at = [(i + 1) / blocks for i in range(blocks - 1)]
-    cuts = rows.agg(F.percentile_approx(F.col("_d").cast("double"), at, 5 * blocks)).first()[0] or []
+    cuts = rows.agg(F.percentile_approx(F.col("_d").cast("double"), at, 5 * blocks)).first()[0] or [0.0]
     splits = [-float("inf"), *sorted(set(cuts)), float("inf")]
     dealt = Bucketizer(splits=splits, inputCol="_x", outputCol="_y").transform(rows.withColumn("_x", F.col("_d").cast("double")))
     return dealt.withColumn("_b", F.col("_y").cast("int")).drop("_x", "_y")
