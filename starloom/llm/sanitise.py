@@ -128,11 +128,8 @@ def revealing_terms(rows: DataFrame, entities: DataFrame, bounds: Disclosure) ->
         .agg(F.count_distinct("_d", "_h").alias("both"), F.count_distinct("place").alias("places"))
         .where(F.col("places") >= bounds.min_contexts)
     )
-    wanted, small = size_checked(pairs.select("term").distinct())
-    words = rows.select(F.explode(terms_in(F.col("text"))).alias("term"))
-    if small:  # filtered in the scan's own tasks; else counted there, and joined after
-        words = words.join(wanted, "term", "left_semi")
-    counted = words.groupBy("term").agg(F.count("*").alias("term_docs"))
+    # every term of the corpus is counted in the scan's own tasks first; joined are the counts
+    counted = rows.select(F.explode(terms_in(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("term_docs"))
     total = rows.agg(F.count("*").cast("double").alias("n"))
     information = F.log(F.col("n")) - F.log("entity_docs")
     mutual = F.log(F.col("both") * F.col("n")) - F.log(F.col("entity_docs") * F.col("term_docs"))
