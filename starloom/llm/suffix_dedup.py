@@ -24,7 +24,7 @@ from starloom.llm.suffix_array import permuted_prefixes, suffix_array
 from starloom.llm.tokens import mix, slices
 
 LENGTH = 400
-SHARD_SEGMENTS = 2_000
+SHARD_SEGMENTS = 500
 SHARD_BYTES = 1 << 20
 
 BASE = 0x5851F42D4C957F2D
