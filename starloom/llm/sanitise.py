@@ -31,10 +31,10 @@ SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string>>"
 
 @dataclass(frozen=True)
 class Disclosure:
-    """Bounds of the method: ``context`` in characters on each side, shares of an entity's information."""
+    """Bounds of the method: ``context`` in characters on each side, ``doubt`` of few contexts, shares of an entity's information."""
 
     context: int = 80
-    min_contexts: int = 3
+    doubt: float = 5.0
     generalise_at: float = 0.6
     remove_at: float = 0.9
 
@@ -117,22 +117,25 @@ def terms_in(text: Column) -> Column:
 def revealing_terms(rows: DataFrame, entities: DataFrame, bounds: Disclosure) -> DataFrame:
     """``entity, term, share``: terms that tell ``generalise_at`` or more of an entity's information.
 
-    ``entities`` has a row per protected span: ``_d, _h, entity, around``. A pair
-    counts once per document, and needs ``min_contexts`` different contexts, so
-    that copies of one text are one observation.
+    ``entities`` has a row per protected span: ``_d, _h, entity, around``. Pairs
+    and entities are counted in different contexts, terms in different texts, so
+    that copies are one observation. A pair seen in ``b`` contexts has its
+    probability smoothed by ``b * b / (b * b + doubt)``: one context tells
+    something only where the entity's information is large.
     """
-    per_entity = entities.groupBy("entity").agg(F.count_distinct("_d", "_h").alias("entity_docs"))
+    per_entity = entities.groupBy("entity").agg(F.count_distinct("around").alias("entity_docs"))
     pairs = stable(
-        entities.select("_d", "_h", "entity", F.xxhash64("around").alias("place"), F.explode(terms_in(F.col("around"))).alias("term"))
+        entities.select("entity", F.xxhash64("around").alias("place"), F.explode(terms_in(F.col("around"))).alias("term"))
         .groupBy("entity", "term")
-        .agg(F.count_distinct("_d", "_h").alias("both"), F.count_distinct("place").alias("places"))
-        .where(F.col("places") >= bounds.min_contexts)
+        .agg(F.count_distinct("place").alias("both"))
     )
     # every term of the corpus is counted in the scan's own tasks first; joined are the counts
-    counted = rows.select(F.explode(terms_in(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("term_docs"))
-    total = rows.agg(F.count("*").cast("double").alias("n"))
+    texts = rows.dropDuplicates(["_h"])
+    counted = texts.select(F.explode(terms_in(F.col("text"))).alias("term")).groupBy("term").agg(F.count("*").alias("term_docs"))
+    total = texts.agg(F.count("*").cast("double").alias("n"))
     information = F.log(F.col("n")) - F.log("entity_docs")
-    mutual = F.log(F.col("both") * F.col("n")) - F.log(F.col("entity_docs") * F.col("term_docs"))
+    seen = F.col("both").cast("double")
+    mutual = F.log(seen * F.col("n")) - F.log(F.col("entity_docs") * F.col("term_docs")) - F.log1p(bounds.doubt / (seen * seen))
     return (
         pairs.join(counted, "term")
         .join(per_entity, "entity")

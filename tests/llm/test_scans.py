@@ -140,6 +140,16 @@ def test_personal_disclosure(spark):
     assert "jo@site.org" not in text and "cardiology" not in text and "[email]" in text and "hospital" in text
 
 
+def test_personal_disclosure_of_few_contexts(spark):
+    """A person named once or twice has revealing terms in a corpus large enough; copies of the text add nothing."""
+    rows = [(i, f"common words of text {'abcdefgh'[i % 8]}{'ijklmnop'[i // 8 % 8]}{'qrstuvwx'[i // 64 % 8]}") for i in range(400)]
+    rows += [(500, "common cardiology mail jo@site.org words"), (600, "common giraffe mail al@site.org words"), (601, "giraffe of al@site.org"), (602, "giraffe of al@site.org")]
+    got = {r.doc_id: [(s.kind, s.value) for s in r.spans] for r in sanitise(corpus.frame(spark, rows)).collect()}
+    assert ("term_generalised", "cardiology") in got[500] and ("term_generalised", "giraffe") in got[600]
+    assert got[601] == got[602] and ("term_generalised", "giraffe") in got[601]
+    assert not any(v == "common" for spans in got.values() for _, v in spans)
+
+
 def test_fold_and_match():
     assert fold("iD10T, ѕсum!  w0rthless $$$") == " idiot scum worthless "
     model = Model(weights={" idiot ": 3.0, " clown ": 3.0, " bad": 1.0})
