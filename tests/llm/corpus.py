@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import collections
+import math
 import random
 import re
 
@@ -154,3 +155,44 @@ def quality(text):
             seen.add(x)
     symbols = len(re.findall(r"[#*$%&|<>]", t))
     return len(w), sum(map(len, w)), symbols, dup, len(covered), len(w) < 50 or 100 * len(covered) > 50 * len(w)
+
+
+def entities(t):
+    """Kind, start and end of the fixed patterns' spans."""
+    digits = lambda s: re.sub("[^0-9]", "", s)
+    luhn = lambda d: sum(x - 9 * (x > 9) for x in (int(c) * (1 + i % 2) for i, c in enumerate(reversed(d)))) % 10 == 0
+    out = [("email", m) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", m) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(x) <= 255 for x in m[0].split("."))]
+    out += [("card", m) for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t) if 16 <= len(digits(m[0])) <= 19 and luhn(digits(m[0]))]
+    out += [("phone", m) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 8 <= len(digits(m[0])) <= 15]
+    return [(k, m.start(), m.end()) for k, m in out]
+
+
+def personal(rows, doubt=5.0, generalise=0.6, remove=0.9):
+    """Kind, start and end of entities and revealing terms by id."""
+    texts = {t or "" for _, t in rows}
+    spans = {t: entities(t) for t in texts}
+    blank = {}
+    for t in texts:
+        chars = list(t)
+        for _, a, b in spans[t]:
+            chars[a:b] = " " * (b - a)
+        blank[t] = "".join(chars)
+    words = {t: [(m[0].lower(), m.start(), m.end()) for m in re.finditer(r"[^\W\d_]+", blank[t])] for t in texts}
+    names = {t: {(k, t[a:b].lower() if k == "email" else re.sub("[^0-9]", "", t[a:b])) for k, a, b in spans[t]} for t in texts}
+    terms = {t: {w for w, _, _ in words[t]} for t in texts}
+    term_docs = collections.Counter(w for t in texts for w in terms[t])
+    entity_docs = collections.Counter(e for t in texts for e in names[t])
+    both = collections.Counter((e, w) for t in texts for e in names[t] for w in terms[t])
+
+    def share(e, w):
+        b, information = both[e, w], math.log(len(texts) / entity_docs[e])
+        return 0 if information <= 0 else (math.log(b * len(texts) / (entity_docs[e] * term_docs[w])) - math.log1p(doubt / b**2)) / information
+
+    out = {}
+    for d, t in rows:
+        t = t or ""
+        most = {w: max((share(e, w) for e in names[t]), default=0) for w in terms[t]}
+        gone = [("term_removed", a, b) for w, a, b in words[t] if most[w] >= remove]
+        out[d] = spans[t] + gone + [("term_generalised", a, b) for w, a, b in words[t] if generalise <= most[w] < remove]
+    return out

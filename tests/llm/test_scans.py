@@ -150,6 +150,20 @@ def test_personal_disclosure_of_few_contexts(spark):
     assert not any(v == "common" for spans in got.values() for _, v in spans)
 
 
+def test_personal_disclosure_over_whole_texts(spark):
+    """Shares by brute force; terms of any length, anywhere in the text, outside the entities."""
+    rng = random.Random(3)
+    filler = ["".join(rng.choice("abcdefgh") for _ in range(rng.randint(1, 4))) for _ in range(300)]
+    some = lambda n: " ".join(rng.choice(filler) for _ in range(n))
+    rows = [(i, some(rng.randint(5, 40))) for i in range(300)]
+    rows += [(400 + i, f"Lee 王 {some(60)} write to jo@site.org or +1 555 010 99{i % 2}{i}") for i in range(6)]
+    rows += [(500 + i, f"{some(9)} al@site.org and bo@site.org, site {some(9)}") for i in range(3)]
+    rows += [rows[305], (700, rows[305][1]), (701, rows[3][1]), (None, ""), (702, None)]
+    got = {(r.doc_id, s.kind, s.start, s.end) for r in sanitise(corpus.frame(spark, rows)).collect() for s in r.spans}
+    assert got == {(d, *s) for d, spans in corpus.personal(rows).items() for s in spans}
+    assert {"Lee", "王"} <= {rows[300][1][a:b] for d, k, a, b in got if d == 400 and k.startswith("term")}
+
+
 def test_fold_and_match():
     assert fold("iD10T, ѕсum!  w0rthless $$$") == " idiot scum worthless "
     model = Model(weights={" idiot ": 3.0, " clown ": 3.0, " bad": 1.0})
