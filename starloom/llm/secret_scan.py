@@ -51,6 +51,10 @@ _KEY = {c: (y, x) for y, row in enumerate(_ROWS) for x, c in enumerate(row)}
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")
 SPLIT_COST = math.log10(2)
 MIN_GUESSES = 10.0
+# After "is", what looks like a word of prose costs so many times as much.
+PROSE_TIMES = 2.4
+_PROSE = re.compile(rb"[A-Za-z]?[a-z]+(?:[-'/][a-z]+)*[.,;:!?)\]]*")
+_IS = re.compile(rb"is\x20+[\"']?\Z", re.IGNORECASE)
 
 
 def _near(a: str, b: str) -> bool:
@@ -119,7 +123,8 @@ def find_secrets(text: bytes, wants_hex: bool, wants_words: bool, min_guesses: f
     if wants_words:
         for m in CONTEXT.finditer(text):
             value = m[2].decode()
-            if any(c.isdigit() for c in value) and guess_cost(value) >= min_guesses:
+            prose = _PROSE.fullmatch(m[2]) and _IS.search(text, m.end(1), m.start(2))
+            if guess_cost(value) >= min_guesses * (PROSE_TIMES if prose else 1):
                 a, b = m.start(2), m.end(2)
                 if not any(s < b and a < e for _, s, e in base):
                     more.append((3, a, b))
@@ -150,7 +155,9 @@ def secret_scan(docs: DataFrame, min_guesses: float = MIN_GUESSES) -> DataFrame:
 
     Kinds are ``assign``, ``access`` and ``hex``, found by fixed patterns, and
     ``guess``, values in credential contexts that overlap none of those and cost
-    ``10 ** min_guesses`` guesses or more.
+    ``10 ** min_guesses`` guesses or more; a value that looks like a word of
+    prose after "is" needs ``PROSE_TIMES`` that power. Without a separator or
+    "is", a context needs a value with a digit.
 
     Null and empty texts have no spans. Rows are scanned one by one, so repeated
     rows give equal rows, and null ids stay. Other columns are ignored; an empty

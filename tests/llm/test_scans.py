@@ -72,6 +72,16 @@ def test_secrets(spark):
     assert secret_scan(corpus.frame(spark, ROWS).limit(0)).count() == 0
 
 
+def _guesses(spark, *texts):
+    out = secret_scan(corpus.frame(spark, list(enumerate(texts)))).collect()
+    return [[texts[r.doc_id][s.start : s.end] for s in r.spans if s.kind == "guess"] for r in sorted(out, key=lambda r: r.doc_id)]
+
+
+def test_guess_without_digits(spark):
+    texts = "pwd: QzvKtRmWxBnP", "passphrase=qz!vkt#rmwx", "the passcode is QzvKtRmWxBnP", "the secret is understanding.", "pwd: password"
+    assert _guesses(spark, *texts) == [["QzvKtRmWxBnP"], ["qz!vkt#rmwx"], ["QzvKtRmWxBnP"], [], []]
+
+
 def test_redacted(spark):
     df = secret_scan(corpus.frame(spark, [(1, "é token=abcdef12 end")])).withColumn("text", F.lit("é token=abcdef12 end"))
     assert df.select(redacted(F.col("text"), F.col("spans")).alias("x")).first().x == "é [assign] end"
