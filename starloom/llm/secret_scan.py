@@ -126,7 +126,7 @@ def find_secrets(text: bytes, wants_hex: bool, wants_words: bool, min_guesses: f
             prose = _PROSE.fullmatch(m[2]) and _IS.search(text, m.end(1), m.start(2))
             if guess_cost(value) >= min_guesses * (PROSE_TIMES if prose else 1):
                 a, b = m.start(2), m.end(2)
-                if not any(s < b and a < e for _, s, e in base):
+                if not any(s <= a and b <= e for _, s, e in base):
                     more.append((3, a, b))
     return sorted(base + more, key=lambda x: (x[1], x[0]))
 
@@ -154,7 +154,7 @@ def secret_scan(docs: DataFrame, min_guesses: float = MIN_GUESSES) -> DataFrame:
     """``doc_id, spans``: an array of ``kind, start, end`` per row, code points, end exclusive, by start and then kind.
 
     Kinds are ``assign``, ``access`` and ``hex``, found by fixed patterns, and
-    ``guess``, values in credential contexts that overlap none of those and cost
+    ``guess``, values in credential contexts that lie in none of those and cost
     ``10 ** min_guesses`` guesses or more; a value that looks like a word of
     prose after "is" needs ``PROSE_TIMES`` that power. Without a separator or
     "is", a context needs a value with a digit.

@@ -82,6 +82,13 @@ def test_guess_without_digits(spark):
     assert _guesses(spark, *texts) == [["QzvKtRmWxBnP"], ["qz!vkt#rmwx"], ["QzvKtRmWxBnP"], [], []]
 
 
+def test_guess_beyond_a_base_span(spark):
+    text = "password=Tr0ub4dor!&#x9Kq end"
+    df = secret_scan(corpus.frame(spark, [(1, text)]))
+    assert [(s.kind, text[s.start : s.end]) for s in df.first().spans] == [("assign", "password=Tr0ub4dor"), ("guess", "Tr0ub4dor!&#x9Kq")]
+    assert df.select(redacted(F.lit(text), F.col("spans"))).first()[0] == "[assign][guess] end"
+
+
 def test_redacted(spark):
     df = secret_scan(corpus.frame(spark, [(1, "é token=abcdef12 end")])).withColumn("text", F.lit("é token=abcdef12 end"))
     assert df.select(redacted(F.col("text"), F.col("spans")).alias("x")).first().x == "é [assign] end"
