@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.llm.byte_bpe import byte_bpe, read_ranks
@@ -12,12 +12,18 @@ from starloom.llm.decontaminate import decontaminate
 from starloom.llm.line_dedup import line_dedup
 from starloom.llm.minhash_dedup import minhash_dedup
 from starloom.llm.oracles import ORACLES
+from starloom.llm.periodic_runs import periodic_runs
 from starloom.llm.quality_rules import quality_rules
+from starloom.llm.rows import let
 from starloom.llm.sanitise import sanitise
 from starloom.llm.secret_scan import secret_scan
 from starloom.llm.substring_dedup import substring_dedup
 from starloom.llm.suffix_dedup import suffix_dedup
+from starloom.llm.token_files import read_token_files, read_vocabulary, write_token_files
 from starloom.llm.toxicity import fit, toxicity
+from starloom.llm.whitening import NO_VECTORS, fixed_point, identity_error, squared_deviation, whiten
+from starloom.llm.whitening import fit as fit_whitening
+from starloom.scale import scratch
 from starloom.session import configure, size_shuffles
 
 _QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -125,6 +131,73 @@ def op10_decontaminate(spark, sf_dir):
     )
 
 
+def with_made_runs(docs: DataFrame) -> DataFrame:
+    """The texts of the periodic query: in a tenth of the documents, chosen by id, all words from one on repeat with a period."""
+    chosen = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    seed = F.floor(chosen / 10)
+
+    def repeated(words: Column) -> Column:
+        n = F.size(words)
+        begin = F.pmod(seed, n).cast("int")
+        period = (F.lit(1) + F.floor((n - begin) / (F.lit(3) + F.pmod(seed, F.lit(8))))).cast("int")
+        copies = F.array_repeat(F.slice(words, begin + 1, period), F.ceil((n - begin) / period).cast("int"))
+        made = F.concat(F.slice(words, F.lit(1), begin), F.slice(F.flatten(copies), F.lit(1), n - begin))
+        return F.when(n > 0, F.array_join(made, " "))
+
+    words = F.regexp_extract_all(F.col("text"), F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    made = F.when(F.pmod(chosen, F.lit(10)) == 0, let(words, repeated))
+    return docs.withColumn("text", F.coalesce(made, F.col("text")))
+
+
+@query
+def op11_periodic_runs(spark, sf_dir):
+    found = periodic_runs(with_made_runs(documents(spark, sf_dir).select("doc_id", "text")))
+    order = F.transform("runs", lambda r: F.struct((-r["length"]).alias("less"), r["start"].alias("start"), r["period"].alias("period")))
+    longest = F.array_min(order)
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.withColumn("longest", longest).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        F.col("longest.start").alias("start"),
+        (-F.col("longest.less")).alias("length"),
+        F.col("longest.period").alias("period"),
+        F.floor(-F.col("longest.less") * 1000 / F.col("longest.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, ""), 256).alias("runs_sha256"),
+        F.sha2("collapsed", 256).alias("collapsed_sha256"),
+    )
+
+
+@query
+def op12_whitening(spark, sf_dir):
+    table = spark.read.parquet(f"{sf_dir}/embeddings.parquet").select(F.col("vec_id").cast("long").alias("vec_id"), "embedding")
+    points = fixed_point(table, "embedding", scale=64, offset=1_000_000).select("vec_id", "point")
+    model = fit_whitening(points)
+    if model is None:
+        model = NO_VECTORS
+    out = whiten(points, model)
+    error = identity_error(out, "whitened", len(model.eigenvalues))
+    explained = F.array(*[F.lit(float(v)) for v in model.eigenvalues / model.trace]) if len(model.eigenvalues) else F.array().cast("array<double>")
+    return out.select("vec_id", squared_deviation("point", model).alias("deviation"), F.posexplode("whitened").alias("at", "whitened")).select(
+        "vec_id",
+        (F.col("at") + 1).alias("component"),
+        F.lit(model.n).cast("long").alias("n"),
+        "deviation",
+        "whitened",
+        F.get(explained, F.col("at")).alias("explained"),
+        F.lit(error).alias("identity_error"),
+    )
+
+
+@query
+def op13_token_files(spark, sf_dir):
+    import public_tokenizers
+
+    folder = scratch(spark, "token-files")
+    vocabulary = read_vocabulary(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    write_token_files(documents(spark, sf_dir).select("doc_id", "text"), folder, vocabulary, end_id=0)
+    return read_token_files(spark, folder).select("doc_id", "start", "n_tokens", "ids_crc32")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return dict(_QUERIES)
 
