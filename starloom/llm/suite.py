@@ -177,7 +177,9 @@ def op12_whitening(spark, sf_dir):
     out = whiten(points, model)
     error = identity_error(out, "whitened", len(model.eigenvalues))
     explained = F.array(*[F.lit(float(v)) for v in model.eigenvalues / model.trace]) if len(model.eigenvalues) else F.array().cast("array<double>")
-    return out.select("vec_id", squared_deviation("point", model).alias("deviation"), F.posexplode("whitened").alias("at", "whitened")).select(
+    # the deviation is worked out below the explosion, once a vector
+    measured = out.select("vec_id", squared_deviation("point", model).alias("deviation"), "whitened")
+    return measured.select("vec_id", "deviation", F.posexplode("whitened").alias("at", "whitened")).select(
         "vec_id",
         (F.col("at") + 1).alias("component"),
         F.lit(model.n).cast("long").alias("n"),
