@@ -33,6 +33,7 @@ _FOOT = struct.Struct("<BxxxxxxxQQQqQQ8s")
 GROUP_CHARS = 1 << 20
 CACHED_SEGMENTS = 400_000
 CACHED_CHARS = 64
+JOINED_SEGMENTS = 8192
 READ_IDS = 1 << 21
 _MANIFEST = "shard int, file string, n_docs long, n_ids long"
 
@@ -66,6 +67,10 @@ class Tokens:
         self.kind = np.dtype("<u2" if max(end_id + 1, self.library.get_vocab_size(with_added_tokens=True)) <= 1 << 16 else "<u4")
         self.end = np.array([end_id], dtype=self.kind).tobytes()
         self.cut = self._parts_at_spaces(json.loads(vocabulary))
+        vocabulary_of = self.library.get_vocab(with_added_tokens=True)
+        self.sizes = np.zeros(max(vocabulary_of.values(), default=0) + 1, dtype=np.int64)
+        for token, number in vocabulary_of.items():  # a character of a byte-level token stands for a byte
+            self.sizes[number] = len(token)
         self.led: dict[str, bytes] = {}  # by segment without the space before it
         self.bare: dict[str, bytes] = {}
 
@@ -89,9 +94,22 @@ class Tokens:
         many = self.library.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(e.ids, dtype=self.kind).tobytes() for e in many]
 
-    def _learn(self, known: dict[str, bytes], segments: set[str], lead: str) -> None:
-        new = [s for s in segments if s not in known]
-        known.update(zip(new, self._ids([lead + s for s in new])))
+    def _ids_led(self, segments: list[str]) -> list[bytes]:
+        """Ids of segments with a space before each, many in one text; the bytes of its tokens tell where each ends."""
+        out = []
+        width = self.kind.itemsize
+        for a in range(0, len(segments), JOINED_SEGMENTS):
+            some = segments[a : a + JOINED_SEGMENTS]
+            ids = np.frombuffer(self._ids([" " + " ".join(some)])[0], self.kind)
+            ends = np.cumsum(self.sizes[ids])
+            wanted = np.cumsum([1 + len(s.encode()) for s in some])
+            last = np.minimum(np.searchsorted(ends, wanted), len(ends) - 1)
+            if (ends[last] != wanted).any():  # a vocabulary that does not spell every byte
+                out += self._ids([" " + s for s in some])
+                continue
+            raw, cuts = ids.tobytes(), [0, *((last + 1) * width).tolist()]
+            out += [raw[x:y] for x, y in zip(cuts, cuts[1:])]
+        return out
 
     def encode(self, texts: list[str]) -> Iterator[bytes]:
         """Ids of each text with the end id, as bytes."""
@@ -108,8 +126,10 @@ class Tokens:
                 parts.append(([first], rest))
         if len(self.led) + len(self.bare) > CACHED_SEGMENTS:
             self.led, self.bare = {}, {}
-        self._learn(self.bare, {s for bare, _ in parts for s in bare}, "")
-        self._learn(self.led, set().union(*(led for _, led in parts)), " ")
+        new = [s for s in {s for bare, _ in parts for s in bare} if s not in self.bare]
+        self.bare.update(zip(new, self._ids(new)))
+        new = [s for s in set().union(*(led for _, led in parts)) if s not in self.led]
+        self.led.update(zip(new, self._ids_led(new)))
         bare_of, led_of = self.bare.__getitem__, self.led.__getitem__
         for bare, led in parts:
             yield b"".join([*map(bare_of, bare), *map(led_of, led), self.end])
