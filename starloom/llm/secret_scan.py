@@ -50,6 +50,9 @@ _ROWS = ("`1234567890-=", "qwertyuiop[]", "asdfghjkl;'", "zxcvbnm,./")
 _KEY = {c: (y, x) for y, row in enumerate(_ROWS) for x, c in enumerate(row)}
 _DATE = re.compile(r"(?:19|20)\d\d(?:[-/._]?(?:0[1-9]|1[0-2])(?:[-/._]?(?:0[1-9]|[12]\d|3[01]))?)?|(?:0[1-9]|[12]\d|3[01])[-/._]?(?:0[1-9]|1[0-2])[-/._]?(?:19|20)?\d\d")
 SPLIT_COST = math.log10(2)
+# A keyboard walk: its first key, and each step from there.
+WALK_COST = math.log10(47)
+STEP_COST = 0.3
 MIN_GUESSES = 10.0
 # After "is", what looks like a word of prose costs so many times as much.
 PROSE_TIMES = 2.4
@@ -66,13 +69,22 @@ def _brute(c: str) -> float:
     return 1.0 if c.isdigit() else math.log10(26) if c.isascii() and c.isalpha() else math.log10(33)
 
 
+def _cheapest(best: list[float], first: int, end: int, least: int, step: float) -> float:
+    """The least cost of a run of ``least`` characters or more that begins at ``first`` or later and ends at ``end``."""
+    if end - first < 64:
+        return min(best[j] + math.log10(end - j) + step * (end - j - 1) for j in range(first, end - least + 1))
+    size = np.arange(end - first, least - 1, -1)
+    return float((np.array(best[first : end - least + 1]) + np.log10(size) + step * (size - 1)).min())
+
+
 def guess_cost(value: str) -> float:
     """log10 of the guesses that the cheapest segmentation needs.
 
     ``best[i]`` is the least cost of the first ``i`` characters: a brute-force
     character more, or a word, date, repeat or keyboard walk that ends at ``i``.
-    A segment other than brute force costs ``SPLIT_COST`` on top. Linear in the
-    value: words and dates are short, repeats and walks are followed as runs.
+    A repeat or walk may begin at any place of its run, also where a word before
+    it has taken the run's first characters. A segment other than brute force costs ``SPLIT_COST`` on top.
+    Words and dates are short; only a run costs more than a step a character.
     """
     n, low = len(value), value.lower()
     folded = low.translate(_FOLD)
@@ -81,7 +93,7 @@ def guess_cost(value: str) -> float:
         if low[i].isdigit() and (m := _DATE.match(low, i)):
             dates.setdefault(m.end(), []).append(i)
     best = [0.0] * (n + 1)
-    run = walk = 0  # starts of the repeat and the walk that end here
+    run = walk = 0  # starts of the longest repeat and walk that end here
     for i in range(1, n + 1):
         c = value[i - 1]
         cost = best[i - 1] + _brute(c)
@@ -90,9 +102,9 @@ def guess_cost(value: str) -> float:
         if i > 1 and not _near(low[i - 2], low[i - 1]):
             walk = i - 1
         if i - run >= 3:
-            cost = min(cost, best[run] + _brute(c) + math.log10(i - run) + SPLIT_COST)
+            cost = min(cost, _cheapest(best, run, i, 3, 0.0) + _brute(c) + SPLIT_COST)
         if i - walk >= 4:
-            cost = min(cost, best[walk] + math.log10(47) + math.log10(i - walk) + 0.3 * (i - walk - 1) + SPLIT_COST)
+            cost = min(cost, _cheapest(best, walk, i, 4, STEP_COST) + WALK_COST + SPLIT_COST)
         for size in range(3, min(_LONGEST, i) + 1):
             part = folded[i - size : i]
             rank = _RANK.get(part)

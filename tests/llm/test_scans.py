@@ -2,6 +2,7 @@
 
 import base64
 import hashlib
+import math
 import os
 import random
 import re
@@ -9,6 +10,7 @@ import re
 import pytest
 from pyspark.sql import functions as F
 
+from starloom.llm import secret_scan as scan
 from starloom.llm.byte_bpe import ByteBpe, byte_bpe
 from starloom.llm.quality_rules import quality_rules
 from starloom.llm.sanitise import Disclosure, sanitise, sanitised
@@ -102,6 +104,44 @@ def test_guess_cost_orders_values():
     assert guess_cost("x9" * 5000) < 10_000
 
 
+def _every_segmentation(value):
+    """The least cost over all segments, each judged by what it is made of."""
+    low = value.lower()
+    folded = low.translate(scan._FOLD)
+    best = [0.0]
+    for i in range(1, len(value) + 1):
+        costs = [best[i - 1] + scan._brute(value[i - 1])]
+        for j in range(i):
+            part, n = value[j:i], i - j
+            if n >= 3 and len(set(part)) == 1:
+                costs.append(best[j] + scan._brute(part[0]) + math.log10(n) + scan.SPLIT_COST)
+            if n >= 4 and all(scan._near(a, b) for a, b in zip(low[j:], low[j + 1 : i])):
+                costs.append(best[j] + scan.WALK_COST + math.log10(n) + scan.STEP_COST * (n - 1) + scan.SPLIT_COST)
+            if n >= 3 and folded[j:i] in scan._RANK:
+                case = 0 if part.islower() else scan.SPLIT_COST if part == part.capitalize() else math.log10(n)
+                signs = 0 if low[j:i] == folded[j:i] else 2 * scan.SPLIT_COST
+                costs.append(best[j] + scan._RANK[folded[j:i]] + case + signs + scan.SPLIT_COST)
+            if (m := scan._DATE.match(low, j)) and m.end() == i:
+                costs.append(best[j] + math.log10(365 * 120) + scan.SPLIT_COST)
+            if n in (2, 3, 4) and j >= n and value[j - n : j] == part:
+                costs.append(best[j] + scan.SPLIT_COST)
+        best.append(min(costs))
+    return best[-1]
+
+
+def test_guess_cost_is_minimal():
+    rng = random.Random(11)
+    pieces = [*scan.WORDS, "fghjkl", "qwert", "kjhg", "4567", "aaaa", "111", "!!!", "2019-07-04", "0712", "xy", "Q", "9", "zzz"]
+    for _ in range(4000):
+        value = "".join(rng.choice(pieces) for _ in range(rng.randint(1, 4)))
+        if rng.random() < 0.3:
+            value = value.title()
+        assert abs(guess_cost(value) - _every_segmentation(value)) < 1e-9, value
+    for value in ("servicefghjkl", "valuefghjklstring", "a" * 90, "pass" + "s" * 80, "asdf" * 30):
+        assert abs(guess_cost(value) - _every_segmentation(value)) < 1e-9, value
+    assert guess_cost("servicefghjkl") < scan.MIN_GUESSES
+
+
 def _luhn(d):
     twice = [int(c) * (1 + i % 2) for i, c in enumerate(reversed(d))]
     return sum(x - 9 * (x > 9) for x in twice) % 10 == 0
