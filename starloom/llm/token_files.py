@@ -31,7 +31,7 @@ from starloom.llm.rows import shuffle_parts
 MAGIC = b"TOKIDS01"
 _FOOT = struct.Struct("<BxxxxxxxQQQqQQ8s")
 GROUP_CHARS = 1 << 20
-CACHED_SEGMENTS = 400_000
+CACHED_SEGMENTS = 1_000_000
 CACHED_CHARS = 64
 JOINED_SEGMENTS = 8192
 READ_IDS = 1 << 21
@@ -73,6 +73,7 @@ class Tokens:
             self.sizes[number] = len(token)
         self.led: dict[str, bytes] = {}  # by segment without the space before it
         self.bare: dict[str, bytes] = {}
+        self.odd: set[str] = set()  # what a split at spaces leaves where a gap is longer than one
 
     @staticmethod
     def _parts_at_spaces(made: dict) -> bool:
@@ -117,29 +118,34 @@ class Tokens:
             for t in texts:
                 yield self._ids([t])[0] + self.end
             return
-        parts: list[tuple[list[str], list[str]]] = []
-        for t in texts:
-            if _BESIDE_SPACE.search(t):
-                parts.append((_BEFORE_SPACE.split(t), []))
-            else:
-                first, *rest = t.split(" ")
-                parts.append(([first], rest))
         if len(self.led) + len(self.bare) > CACHED_SEGMENTS:
-            self.led, self.bare = {}, {}
-        new = [s for s in {s for bare, _ in parts for s in bare} if s not in self.bare]
-        self.bare.update(zip(new, self._ids(new)))
-        new = [s for s in set().union(*(led for _, led in parts)) if s not in self.led]
+            self.led, self.bare, self.odd = {}, {}, set()
+        cut = [t.split(" ") for t in texts]
+        segments = set().union(*(c[1:] for c in cut))
+        new = [s for s in segments if s not in self.led]
+        odd = {s for s in new if not s or s[0].isspace() or s[-1].isspace()}
+        self.odd |= odd
+        self.led.update(zip(odd, [b""] * len(odd)))  # never looked up: texts with one are cut with care
+        new = [s for s in new if s not in odd]
         self.led.update(zip(new, self._ids_led(new)))
+        careful = self.odd & segments
+        for i, c in enumerate(cut):
+            if c[0][-1:].isspace() or careful and not careful.isdisjoint(c[1:]):
+                cut[i] = None
+        firsts = {s for c, t in zip(cut, texts) for s in ([c[0]] if c else _BEFORE_SPACE.split(t))}
+        bare = [s for s in firsts if s not in self.bare]
+        self.bare.update(zip(bare, self._ids(bare)))
         bare_of, led_of = self.bare.__getitem__, self.led.__getitem__
-        for bare, led in parts:
-            yield b"".join([*map(bare_of, bare), *map(led_of, led), self.end])
-        for known in (self.bare, self.led):
-            for s in [s for s in known if len(s) > CACHED_CHARS]:
-                del known[s]
+        for c, t in zip(cut, texts):
+            found = map(bare_of, _BEFORE_SPACE.split(t)) if c is None else [bare_of(c[0]), *map(led_of, c[1:])]
+            yield b"".join([*found, self.end])
+        for known, fresh in ((self.bare, bare), (self.led, new)):
+            for s in fresh:
+                if len(s) > CACHED_CHARS:
+                    del known[s]
 
 
-# A space at either end of a text, or beside another white character, belongs to a longer gap.
-_BESIDE_SPACE = re.compile(r"\A\s|\s\Z|\s | \s")
+# A single space or line feed between two visible characters.
 _BEFORE_SPACE = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
