@@ -1,7 +1,8 @@
 """Command line for spark-submit.
 
     listening   raw log and song JSON to the star schema
-    arrivals    raw arrival records and lookup CSV files to the fact and its dimensions
+    hourly      raw log and song JSON that arrived since the last run, all tables in one checked commit per step
+    arrivals    raw arrival records and lookup CSV files to the fact and its dimensions, in one commit
     check       quality checks on the tables of a folder; exit code 1 when one fails
     export      arrivals tables as JSON lines
     publish     arrivals statistics and dimensions into keyed tables, later rows replacing earlier ones
@@ -18,8 +19,9 @@ import sys
 from pyspark.sql import SparkSession
 
 from starloom.operators import quality
-from starloom.plans import arrivals, listening, overstay_model, tables
+from starloom.plans import arrivals, listening, listening_hourly, overstay_model, tables
 from starloom.session import build_session, size_shuffles
+from starloom.sources.manifest import open_table, table_folder
 from starloom.sources.readers import read_union
 from starloom.sources.snapshots import upsert
 from starloom.sources.writers import export_json, write_parquet
@@ -43,9 +45,13 @@ def run_listening(spark: SparkSession, args: argparse.Namespace) -> None:
     listening.load(size_shuffles(spark, args.log), args.log, args.songs, args.out, args.match)
 
 
+def run_hourly(spark: SparkSession, args: argparse.Namespace) -> None:
+    listening_hourly.run(size_shuffles(spark, args.log), args.log, args.songs, args.out, args.progress, args.match)
+
+
 def run_arrivals(spark: SparkSession, args: argparse.Namespace) -> None:
     raw = read_union(size_shuffles(spark, args.raw), [args.raw], RAW_SCHEMA, args.format)
-    arrivals.run(spark, raw, arrivals.read_dimensions(spark, args.lookups), args.out, tie=["cicid"])
+    arrivals.run(spark, raw, arrivals.read_dimensions(spark, args.lookups), args.out, tie=["cicid"], writer=args.writer, batch=args.batch)
 
 
 def run_check(spark: SparkSession, args: argparse.Namespace) -> None:
@@ -66,15 +72,15 @@ def run_publish(spark: SparkSession, args: argparse.Namespace) -> None:
 
 
 def run_train(spark: SparkSession, args: argparse.Namespace) -> None:
-    features = size_shuffles(spark, args.features).read.parquet(args.features)
+    features = open_table(size_shuffles(spark, table_folder(spark, args.features)), args.features)
     model, auc = overstay_model.tune(features, folds=args.folds)
     logging.getLogger(__name__).info("area under ROC %.4f", auc)
     overstay_model.save(model, args.model)
 
 
 def run_score(spark: SparkSession, args: argparse.Namespace) -> None:
-    scored = overstay_model.score(size_shuffles(spark, args.features).read.parquet(args.features), overstay_model.load(args.model))
-    write_parquet(scored, args.out)
+    features = open_table(size_shuffles(spark, table_folder(spark, args.features)), args.features)
+    write_parquet(overstay_model.score(features, overstay_model.load(args.model)), args.out)
 
 
 def parser() -> argparse.ArgumentParser:
@@ -92,9 +98,13 @@ def parser() -> argparse.ArgumentParser:
     command("listening", run_listening, "log", "songs", "out").add_argument(
         "--match", choices=["lookup", "inner", "left"], default="lookup"
     )
-    command("arrivals", run_arrivals, "raw", "lookups", "out").add_argument(
-        "--format", choices=["parquet", "csv", "json"], default="parquet"
+    command("hourly", run_hourly, "log", "songs", "out", "progress").add_argument(
+        "--match", choices=["lookup", "inner", "left"], default="lookup"
     )
+    arrivals_command = command("arrivals", run_arrivals, "raw", "lookups", "out")
+    arrivals_command.add_argument("--format", choices=["parquet", "csv", "json"], default="parquet")
+    arrivals_command.add_argument("--writer", default="", help="who loads; with --batch, a run that is committed is not done again")
+    arrivals_command.add_argument("--batch", type=int, help="number of this run among the writer's, rising")
     command("check", run_check, "tables").add_argument("--domain", choices=["listening", "arrivals"], required=True)
     command("export", run_export, "tables", "out")
     command("publish", run_publish, "tables", "out")

@@ -1,7 +1,8 @@
 """Attribute joins, single-match lookups and dimension enrichment.
 
 Skew policy. A side measured small is broadcast, so the big side never
-shuffles. Otherwise both sides shuffle, and keys found to be heavy are salted.
+shuffles. Otherwise both sides shuffle, and keys found to be heavy are salted;
+those heavy on both sides are dealt over a grid of tasks.
 Plain dimension joins carry no hint: the optimizer broadcasts by file size, and
 adaptive execution splits hot partitions of the sort-merge join beyond that. A
 derived dimension gets a known size from :func:`starloom.scale.stored`.
@@ -10,12 +11,14 @@ derived dimension gets a known size from :func:`starloom.scale.stored`.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import first_per_key
-from starloom.scale import BROADCAST_ROWS, HOT_MIN_ROWS, hot_keys, salt_sides, size_checked
+from starloom.scale import BROADCAST_ROWS, HOT_MIN_ROWS, grid_sides, hot_keys, is_hot, salt_sides, size_checked
 
 
 def _common_type(left: DataFrame, l_name: str, right: DataFrame, r_name: str) -> str:
@@ -39,6 +42,7 @@ def attribute_join(
     hot_share: float | None = None,
     hot: Mapping[int, int] | None = None,
     measure: DataFrame | None = None,
+    unique_right: bool = False,
 ) -> DataFrame:
     """Join on natural attributes, ``{left column: right column}``.
 
@@ -48,6 +52,8 @@ def attribute_join(
     the right columns to return (all by default); names must not clash.
     ``measure`` is an upper bound of ``right`` that is cheaper to size. Heavy
     keys are looked for unless ``hot`` names them (hash to number of parts).
+    They are cut on the left, and on the right too where they are heavy there;
+    ``unique_right`` says that no key repeats on the right, which spares the search.
     """
     decimals = decimals or {}
     kept = list(right.columns if keep is None else keep)
@@ -61,14 +67,36 @@ def attribute_join(
 
     right, small = size_checked(right, right if measure is None else measure, broadcast_rows)
     condition = [F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)]
-    if not small:
-        if hot is None:
-            hot = hot_keys(left.dropna(subset=left_keys), left_keys, hot_rows, hot_share)
+    if small:
+        return left.join(right, on=condition, how=how).select(*left_cols, *kept)
+    if hot is None:
+        hot = hot_keys(left.dropna(subset=left_keys), left_keys, hot_rows, hot_share)
+    right_hot = {} if unique_right else hot_keys(right.dropna(subset=right_keys), right_keys, hot_rows, hot_share)
+    if not right_hot:
         left, right = salt_sides(left, right, left_keys, right_keys, hot)
-        right = right.withColumnRenamed("_salt", "_right_salt")
         condition.append(F.col("_salt") == F.col("_right_salt"))
-    joined = left.join(right, on=condition, how=how)
-    return joined.select(*left_cols, *kept)
+        joined = left.join(right.withColumnRenamed("_salt", "_right_salt"), on=condition, how=how)
+        return joined.select(*left_cols, *kept)
+    if how != "inner":
+        # a repeated left row must not count as unmatched in the cells it finds empty: only matches go over the grid
+        met = F.broadcast(right.where(is_hot(right_keys, right_hot)).select(*right_keys).distinct())
+        gridded = left.join(met, on=condition, how="left_semi")
+        rest = left.join(met, on=condition, how="left_anti")
+        few = right.where(~is_hot(right_keys, right_hot) | reduce(or_, [F.col(c).isNull() for c in right_keys]))
+        others, few = salt_sides(rest, few, left_keys, right_keys, {k: n for k, n in hot.items() if k not in right_hot})
+        unmatched_too = others.join(few.withColumnRenamed("_salt", "_right_salt"), on=[*condition, F.col("_salt") == F.col("_right_salt")], how=how)
+        matches = _over_grid(gridded, right.where(is_hot(right_keys, right_hot)), left_keys, right_keys, hot, right_hot)
+        return matches.select(*left_cols, *kept).unionByName(unmatched_too.select(*left_cols, *kept))
+    return _over_grid(left, right, left_keys, right_keys, hot, right_hot).select(*left_cols, *kept)
+
+
+def _over_grid(
+    left: DataFrame, right: DataFrame, left_keys: Sequence[str], right_keys: Sequence[str], hot: Mapping[int, int], right_hot: Mapping[int, int]
+) -> DataFrame:
+    left, right = grid_sides(left, right, left_keys, right_keys, hot, right_hot)
+    right = right.withColumnsRenamed({"_row": "_right_row", "_col": "_right_col"})
+    cells = [F.col("_row") == F.col("_right_row"), F.col("_col") == F.col("_right_col")]
+    return left.join(right, on=[*[F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)], *cells], how="inner")
 
 
 def lookup_join(
@@ -94,7 +122,7 @@ def lookup_join(
         *[c for c in dict.fromkeys([*keep, *pick]) if c not in on.values()],
     ).dropna(subset=list(on.values()))
     single = first_per_key(keyed, list(on.values()), list(pick))
-    return attribute_join(left, single, on, "left", decimals, keep, broadcast_rows, hot_rows, hot_share, hot, keyed)
+    return attribute_join(left, single, on, "left", decimals, keep, broadcast_rows, hot_rows, hot_share, hot, keyed, unique_right=True)
 
 
 def enrich(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
+from operator import and_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from starloom.functions import (
@@ -25,8 +27,9 @@ from starloom.operators.dedup import distinct_dimension, top_n_per_key
 from starloom.operators.joins import enrich, keep_if_valid
 from starloom.operators.projection import cast_columns, rename
 from starloom.operators.windows import count_previous
+from starloom.scale import stored
+from starloom.sources.manifest import KEEP_VERSIONS, Change, Store, partition_values
 from starloom.sources.readers import read_csv
-from starloom.sources.writers import append_new, by_key, load_dimension, read_target, touched_rows, write_partitions
 
 # Raw field names and the names they get here.
 FIELD_NAMES = {
@@ -111,10 +114,13 @@ def clean_arrivals(raw: DataFrame, tie: Sequence[str] = (), previous_of_unknown:
     dates and flags of the record. ``previous_of_unknown`` counts earlier
     arrivals among records without a person id instead of giving them 0.
     """
+    return counted_arrivals(typed_arrivals(raw, tie), tie, previous_of_unknown, **window_options)
+
+
+def counted_arrivals(typed: DataFrame, tie: Sequence[str] = (), previous_of_unknown: bool = False, **window_options) -> DataFrame:
+    """:func:`clean_arrivals` of records that are typed already."""
     order = list(tie) or ["departure_date", "permitted_date", "entdepa", "entdepd", "entdepu"]
-    counted = count_previous(
-        typed_arrivals(raw, tie), "admnum", ["arrival_date"], order, "num_previous_stays", previous_of_unknown, **window_options
-    )
+    counted = count_previous(typed, "admnum", ["arrival_date"], order, "num_previous_stays", previous_of_unknown, **window_options)
     return counted.withColumn("admnum", value_or("admnum", 0))
 
 
@@ -192,8 +198,8 @@ def daily_counts(fact: DataFrame, countries: DataFrame, code: str = "country_cit
     return joined.groupBy(label, *days).agg(F.sum("n").alias("count"))
 
 
-class LateArrivalError(ValueError):
-    """A batch holds days before arrivals of the same persons that are stored already."""
+class SplitDayError(ValueError):
+    """A person's arrivals of one day lie in a batch and in stored partitions that it does not replace, so their order is unknown."""
 
 
 def stays(typed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
@@ -202,23 +208,45 @@ def stays(typed: DataFrame, partition_by: Sequence[str]) -> DataFrame:
     return typed.where(F.col("admnum").isNotNull()).groupBy(*days).agg(F.count("*").alias("n"))
 
 
-def with_stored_stays(clean: DataFrame, batch_stays: DataFrame, ledger: DataFrame, partition_by: Sequence[str]) -> DataFrame:
-    """Add the stays of earlier loads to those counted in the batch.
+def _timeline(change: Change, visits: DataFrame, partition_by: Sequence[str], touched: set) -> DataFrame:
+    """What a batch means for the persons in it, and what it means for their stored arrivals.
 
-    Partitions that the batch replaces do not count. A batch older than stored
-    stays of its persons is refused: their later rows would need new numbers.
+    A row per person and day: of the batch with ``earlier``, the stored stays
+    before it, and of the store with ``shift``, by how much the number of
+    earlier stays changes. Stays of partitions that the batch replaces count as
+    taken away. A person's days are summed along one window, a row per day, so
+    nothing is paired. Of the ledger, a row per person and day, only those of the batch's persons are shuffled.
     """
-    prior = by_key(ledger, batch_stays.select(*partition_by).distinct(), partition_by, "left_anti").select(
-        F.col("admnum").alias("_person"), F.col("arrival_date").alias("_date"), F.col("n").alias("_n")
+    gone_units = change.units_of("stays", partition_by, touched)
+    gone = change.read("stays", gone_units)
+    moved = visits.withColumn("kind", F.lit("batch")).unionByName(gone.withColumn("kind", F.lit("gone"))).where("arrival_date IS NOT NULL")
+    persons = moved.select("admnum").distinct()
+    others = [u for u in change.units["stays"] if u not in set(gone_units)]
+    prior = change.read("stays", others).where("arrival_date IS NOT NULL").join(persons, "admnum", "left_semi")
+    days = moved.unionByName(prior.withColumn("kind", F.lit("stored")))
+    is_stored = F.col("kind") == "stored"
+    before = Window.partitionBy("admnum").orderBy(F.unix_date("arrival_date")).rangeBetween(Window.unboundedPreceding, -1)
+    same_day = Window.partitionBy("admnum").orderBy(F.unix_date("arrival_date")).rangeBetween(0, 0)
+    change_of = F.when(is_stored, 0).when(F.col("kind") == "gone", -F.col("n")).otherwise(F.col("n"))
+    return (
+        days.withColumns({"stored_n": F.when(is_stored, F.col("n")).otherwise(0), "change_n": change_of})
+        .withColumns({
+            "earlier": F.coalesce(F.sum("stored_n").over(before), F.lit(0)),
+            "shift": F.coalesce(F.sum("change_n").over(before), F.lit(0)),
+            "split": (F.col("kind") == "batch") & (F.sum("stored_n").over(same_day) > 0),
+        })
+        .where((F.col("kind") == "batch") | is_stored & (F.col("shift") != 0))
+        .select("admnum", "arrival_date", *partition_by, "kind", "earlier", "shift", "split")
     )
-    visits = batch_stays.select("admnum", "arrival_date").distinct()
-    met = visits.join(prior, F.col("admnum") == F.col("_person"))
-    late = met.where(F.col("_date") >= F.col("arrival_date")).limit(1).collect()
-    if late:
-        raise LateArrivalError(f"person {late[0]['admnum']} arrives on {late[0]['arrival_date']}, and is stored on {late[0]['_date']}")
-    earlier = met.groupBy("admnum", "arrival_date").agg(F.sum("_n").alias("_earlier"))
-    added = F.col("num_previous_stays") + F.coalesce("_earlier", F.lit(0))
-    return clean.join(earlier, ["admnum", "arrival_date"], "left").withColumn("num_previous_stays", added).select(*clean.columns)
+
+
+def _shifted(fact: DataFrame, moved: DataFrame, partition_by: Sequence[str]) -> DataFrame:
+    """Stored arrivals with their numbers of earlier stays moved."""
+    keys = list(dict.fromkeys(["admnum", "arrival_date", *partition_by]))
+    by = moved.select(*[F.col(c).alias(f"_{c}") for c in keys], "shift")
+    joined = fact.join(by, reduce(and_, [F.col(c).eqNullSafe(F.col(f"_{c}")) for c in keys]), "left")
+    count = (F.col("num_previous_stays") + F.coalesce("shift", F.lit(0))).cast(fact.schema["num_previous_stays"].dataType)
+    return joined.withColumn("num_previous_stays", count).select(*fact.columns)
 
 
 def run(
@@ -228,30 +256,62 @@ def run(
     out: str,
     tie: Sequence[str] = (),
     partition_by: Sequence[str] = ("year", "month", "day"),
-) -> None:
-    """Raw records to the fact, its dimensions and the feature table.
-
-    A daily run replaces the partitions of its own days in the fact, the
-    feature table and the counts, and adds new visa types. Earlier stays come
-    from ``stays``, a ledger of arrivals per person and day; running a day again
-    gives the same rows, and a day before stored days of its persons is refused
-    with :class:`LateArrivalError` before anything is written.
-
-    The fact is written once; the outputs derived from it read the columns they
-    need back from storage instead of repeating the joins and the window.
+    writer: str = "",
+    batch: int | None = None,
+    keep: int = KEEP_VERSIONS,
+) -> int:
+    """Raw records to the fact, its dimensions and the feature table; returns the version that holds them.
+
+    ``out`` is a store (:mod:`starloom.sources.manifest`): all outputs of a run
+    appear in one commit or not at all, and :func:`output` reads them. ``writer``
+    and ``batch`` name a run, so that one that is committed is not done again.
+
+    A run replaces the partitions of its own days in the fact, the ledger of
+    stays, the feature table and the counts, and adds new visa types. Days may
+    come in any order, and again with other records: where later days of the
+    batch's persons are stored already, their numbers of earlier stays are moved
+    and only their partitions are written anew, so that the tables equal one
+    full load. Records without a date count only inside their batch. One case is
+    refused, with :class:`SplitDayError` and before anything counts: a person's arrivals
+    of one day in two partitions that are loaded apart.
     """
-    fact_path = f"{out}/immigration"
-    batch_stays = stays(typed_arrivals(raw, tie), partition_by)
-    clean = clean_arrivals(raw, tie)
-    ledger = read_target(spark, f"{out}/stays", batch_stays.schema)
-    if ledger is not None:
-        clean = with_stored_stays(clean, batch_stays, ledger, partition_by)
-    write_partitions(enrich_arrivals(clean, dims), fact_path, partition_by)
-    write_partitions(batch_stays, f"{out}/stays", partition_by)
+    change = Store(spark, out).begin(writer, batch)
+    if change is None:
+        return Store(spark, out).versions()[-1]
+    parts = list(partition_by)
+    typed = stored(typed_arrivals(raw, tie), "typed")
+    touched = partition_values(typed, parts)
+    visits = stays(typed, parts)
+    clean = counted_arrivals(typed, tie)
+    late: set = set()
+    if change.has("stays"):
+        timeline = stored(_timeline(change, visits, parts, touched), "timeline")
+        split = timeline.where("split").limit(1).collect()
+        if split:
+            raise SplitDayError(f"person {split[0]['admnum']} arrives on {split[0]['arrival_date']} in two partitions")
+        # a person and day may lie in several partitions of one batch; the stays before it are the same
+        earlier = timeline.where("kind = 'batch'").groupBy("admnum", "arrival_date").agg(F.max("earlier").alias("_earlier"))
+        count = F.col("num_previous_stays") + F.coalesce("_earlier", F.lit(0))
+        clean = clean.join(earlier, ["admnum", "arrival_date"], "left").withColumn("num_previous_stays", count).select(*clean.columns)
+        moved = timeline.where("kind = 'stored'")
+        late = partition_values(moved, parts)
+        if late:
+            fact = change.read("immigration", change.units_of("immigration", parts, late))
+            change.replace("immigration", _shifted(fact, moved, parts), parts)
+    change.replace("immigration", enrich_arrivals(clean, dims), parts, change.units_of("immigration", parts, touched))
+    change.replace("stays", visits, parts, change.units_of("stays", parts, touched))
     for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp}.items():
-        load_dimension(dimension, f"{out}/{name}")
-    fact = touched_rows(spark.read.parquet(fact_path), batch_stays, partition_by)
-    append_new(visa_types(fact), f"{out}/visa_type", ["visa_type", "visa_category"])
-    features = list(dict.fromkeys([*FEATURE_COLUMNS, *partition_by]))
-    write_partitions(ml_features(fact, spark.read.parquet(f"{out}/gdp"), features), f"{out}/ml_data", partition_by)
-    write_partitions(daily_counts(fact, dims.iso), f"{out}/immigration_stats", partition_by)
+        change.replace(name, dimension)
+    fact = change.read("immigration", change.units_of("immigration", parts, touched))
+    seen = visa_types(fact)
+    change.replace("visa_type", seen.unionByName(change.read("visa_type")).distinct() if change.has("visa_type") else seen)
+    changed = change.read("immigration", change.units_of("immigration", parts, touched | late))
+    features = ml_features(changed, change.read("gdp"), list(dict.fromkeys([*FEATURE_COLUMNS, *parts])))
+    change.replace("ml_data", features, parts, change.units_of("ml_data", parts, touched | late))
+    change.replace("immigration_stats", daily_counts(fact, dims.iso), parts, change.units_of("immigration_stats", parts, touched))
+    return change.commit(keep)
+
+
+def output(spark: SparkSession, out: str, name: str, version: int | None = None) -> DataFrame:
+    """A table that :func:`run` has written, as of the newest commit or an earlier one."""
+    return Store(spark, out).read(name, version)

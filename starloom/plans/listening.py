@@ -36,13 +36,13 @@ def plays(log: DataFrame) -> DataFrame:
     return log.where(F.col("page") == PLAY).withColumn("start_time", epoch_seconds("ts"))
 
 
-def users(log: DataFrame, rule: str = "latest") -> DataFrame:
-    """User dimension of the plays.
+# A user's states by time; all columns take part, so a tie on time is still decided.
+USER_ORDER = ["ts", "level", "first_name", "last_name", "gender"]
 
-    ``latest`` keeps a user's last state, ``one`` a fixed but arbitrary row, and
-    ``distinct`` every state, so a user may occur at both levels.
-    """
-    named = project(
+
+def user_states(log: DataFrame) -> DataFrame:
+    """What the plays say of their users, with the time they say it."""
+    return project(
         log.where((F.col("page") == PLAY) & F.col("userId").isNotNull() & (F.col("userId") != "")),
         {
             "user_id": F.col("userId"),
@@ -53,9 +53,17 @@ def users(log: DataFrame, rule: str = "latest") -> DataFrame:
             "ts": F.col("ts"),
         },
     )
+
+
+def users(log: DataFrame, rule: str = "latest") -> DataFrame:
+    """User dimension of the plays.
+
+    ``latest`` keeps a user's last state, ``one`` a fixed but arbitrary row, and
+    ``distinct`` every state, so a user may occur at both levels.
+    """
+    named = user_states(log)
     if rule == "latest":
-        # all columns take part, so a tie on time is still decided
-        return latest_per_key(named, ["user_id"], ["ts", "level", "first_name", "last_name", "gender"]).drop("ts")
+        return latest_per_key(named, ["user_id"], USER_ORDER).drop("ts")
     if rule == "one":
         return one_per_key(named.drop("ts"), ["user_id"])
     if rule == "distinct":

@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 from starloom.operators import quality as q
 from starloom.plans.listening import LEVELS
+from starloom.sources.manifest import open_table
 
 # Columns and types of the listening tables.
 LISTENING_TABLES = {
@@ -87,5 +88,5 @@ def arrivals_checks(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFram
 
 
 def read_tables(spark: SparkSession, folder: str, schemas: Mapping[str, str]) -> dict[str, DataFrame]:
-    """The named tables of a folder, with the columns each has in storage."""
-    return {name: spark.read.parquet(f"{folder}/{name}") for name in schemas}
+    """The named tables of a folder or a store, with the columns each has in storage."""
+    return {name: open_table(spark, f"{folder}/{name}") for name in schemas}

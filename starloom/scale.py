@@ -2,7 +2,8 @@
 
 * :func:`size_checked` broadcasts a side only after measuring it.
 * :func:`hot_keys` finds heavy hitters in one pass with bounded memory.
-* :func:`salt_sides` spreads the heavy hitters of a join over many tasks.
+* :func:`salt_sides` spreads the heavy hitters of a join over many tasks,
+  :func:`grid_sides` those that are heavy on both sides.
 * :func:`stable` and :func:`stored` cut lineage in the cluster's shared folder.
 """
 
@@ -116,6 +117,35 @@ def salt_sides(
     return left, right.withColumn("_salt", F.explode(F.sequence(F.lit(0), _parts(right_key, hot) - 1)))
 
 
+def grid_sides(
+    left: DataFrame,
+    right: DataFrame,
+    left_key: Sequence[str],
+    right_key: Sequence[str],
+    left_hot: Mapping[int, int],
+    right_hot: Mapping[int, int],
+) -> tuple[DataFrame, DataFrame]:
+    """Add ``_row`` and ``_col`` to both sides, so that a hot key's rows meet in a grid of tasks.
+
+    A key cut into ``r`` parts on the left and ``c`` on the right gets ``r x c``
+    cells: a left row lies in one row of the grid and repeats over its columns, a
+    right row in one column and repeats over its rows. Each pair of rows meets in
+    one cell, and a cell holds about a fair share of either side. A key that is
+    hot on one side alone is a single column, or a single row. Rows without a
+    key match nothing and spread. The parts mix a hash of the row with the partition that
+    holds it, as in :func:`salt_sides`.
+    """
+
+    def dealt(df: DataFrame, key: Sequence[str], mine: Mapping[int, int], other: Mapping[int, int], own: str, across: str) -> DataFrame:
+        spread = F.xxhash64(*df.columns) + F.spark_partition_id()
+        absent = reduce(or_, [F.col(c).isNull() for c in key])
+        df = df.withColumn(own, F.pmod(spread, F.when(absent, F.lit(MAX_HOT_KEYS)).otherwise(_parts(key, mine))).cast("int"))
+        copies = F.when(absent, F.lit(1)).otherwise(_parts(key, other))
+        return df.withColumn(across, F.explode(F.sequence(F.lit(0), copies - 1)) if other else F.lit(0))
+
+    return dealt(left, left_key, left_hot, right_hot, "_row", "_col"), dealt(right, right_key, right_hot, left_hot, "_col", "_row")
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared checkpoint folder; a temporary one only in local mode, one per process.
 

@@ -13,9 +13,12 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from starloom.operators.dedup import duplicated_keys, one_per_key
+from starloom.sources.key_index import colliding_keys
 
 # Partitions that may be named one by one in a filter.
 PRUNED_PARTITIONS = 500
+# Files from which on a table's keys are looked up by an index.
+INDEXED_FILES = 64
 
 
 class DuplicateKeyError(ValueError):
@@ -135,15 +138,19 @@ def touched_rows(df: DataFrame, batch: DataFrame, partition_by: Sequence[str]) -
     return df.where(reduce(or_, hits, F.lit(False)))
 
 
-def _existing_keys(batch: DataFrame, target: DataFrame, key: Sequence[str], partition_by: Sequence[str]) -> DataFrame:
+def _existing_keys(batch: DataFrame, target: DataFrame, key: Sequence[str], partition_by: Sequence[str], path: str | None = None) -> DataFrame:
     """Target keys that the batch could collide with.
 
     Where the partition columns are part of the key, only the batch's partitions
     are read, so an hourly load reads its own days and not the history.
-    Otherwise a key may have moved, and all keys are read.
+    Otherwise a key may have moved. In a table of ``INDEXED_FILES`` files or more its key
+    index names those to open; fewer are read faster than the index is. Both ways find the same keys.
     """
-    keys = target.select(*key)
-    return touched_rows(keys, batch, partition_by) if partition_by and set(partition_by) <= set(key) else keys
+    if partition_by and set(partition_by) <= set(key):
+        return touched_rows(target.select(*key), batch, partition_by)
+    if path is None or len(target.inputFiles()) < INDEXED_FILES:
+        return target.select(*key)
+    return colliding_keys(batch, target, path, key)
 
 
 def append_new(batch: DataFrame, path: str, key: Sequence[str], partition_by: Sequence[str] = ()) -> None:
@@ -151,13 +158,13 @@ def append_new(batch: DataFrame, path: str, key: Sequence[str], partition_by: Se
 
     Within the batch one row per key is kept, chosen by all its columns. Nulls
     in the key equal each other. A key counts as known in whatever partition it
-    stands; to read the touched partitions only, make them part of the key.
+    stands; an index of keys beside the files says which of them to open.
     """
     spark = batch.sparkSession
     fresh = one_per_key(batch, list(key))
     target = read_target(spark, path, batch.schema)
     if target is not None:
-        fresh = by_key(fresh, _existing_keys(batch, target, key, partition_by), key, "left_anti")
+        fresh = by_key(fresh, _existing_keys(batch, target, key, partition_by, path), key, "left_anti")
     append(fresh, path, partition_by=partition_by)
 
 
@@ -166,7 +173,7 @@ def append_unique(batch: DataFrame, path: str, key: Sequence[str], partition_by:
     clash = duplicated_keys(batch, list(key)).limit(1).collect()
     target = read_target(batch.sparkSession, path, batch.schema)
     if not clash and target is not None:
-        known = _existing_keys(batch, target, key, partition_by)
+        known = _existing_keys(batch, target, key, partition_by, path)
         clash = by_key(batch.select(*key), known, key, "left_semi").limit(1).collect()
     if clash:
         found = {c: v for c, v in clash[0].asDict().items() if c in key}

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
+from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -178,7 +181,7 @@ def arrivals_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     plan.run(spark, raw_arrivals(spark, sf_dir), dimensions(spark, sf_dir), path, ["cicid"], ["year", "month"])
     names = ["immigration", "visa_type", "ml_data", "immigration_stats", "country", "state", "gdp"]
     counts = [
-        spark.read.parquet(f"{path}/{name}").agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
+        plan.output(spark, path, name).agg(F.count("*").alias("n")).select(F.lit(name).alias("table"), "n")
         for name in names
     ]
     return union_frames(counts, ["table", "n"])
@@ -202,7 +205,7 @@ def arrivals_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     years = [r[0] for r in raw.select("i94yr").distinct().orderBy("i94yr").collect()]
     for year in [*years, years[-1]]:
         plan.run(spark, raw.where(F.col("i94yr") == year), dims, path, ["cicid"], ["year", "month"])
-    fact, daily, visas = (spark.read.parquet(f"{path}/{t}") for t in ("immigration", "immigration_stats", "visa_type"))
+    fact, daily, visas = (plan.output(spark, path, t) for t in ("immigration", "immigration_stats", "visa_type"))
     whole = lambda c, name: c.cast("long").alias(name)
     of_fact = fact.groupBy("year", "month").agg(
         F.count("*").alias("n"), whole(F.sum("num_previous_stays"), "stays"), whole(F.max("num_previous_stays"), "most"),
@@ -220,3 +223,50 @@ def arrivals_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     columns = ["table", "year", "month", "n", "stays", "most", "persons", "total", "first_date"]
     frames = {"fact": of_fact, "immigration_stats": of_days, "visa_type": of_visas}
     return union_frames([df.withColumn("table", F.lit(name)) for name, df in frames.items()], columns)
+
+
+_ANY_ORDER = (
+    "admnum", "year", "month", "day", "arrival_date", "departure_date", "country_citizenship", "country_residence", "age", "gender",
+    "visa_type", "visa_category", "destination_state", "is_overstay", "num_previous_stays",
+)
+
+
+@query(f"{_DATED} SELECT {', '.join(f'{c}::VARCHAR AS {c}' if c.endswith('_date') else c for c in _ANY_ORDER)} FROM fact")
+def arrivals_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Years loaded from the last to the first, one of them with half its records and then again with all: row by row one full load."""
+    path, dims = scratch(spark, "any-order"), dimensions(spark, sf_dir)
+    raw = stored(raw_arrivals(spark, sf_dir).where("arrdate >= 0"), "raw")
+    years = [r[0] for r in raw.select("i94yr").distinct().orderBy(F.desc("i94yr")).collect()]
+    half = raw.where((F.col("i94yr") == years[1]) & (F.col("cicid") % 2 == 0))
+    for rows in [half, *[raw.where(F.col("i94yr") == y) for y in years]]:
+        plan.run(spark, rows, dims, path, ["cicid"], ["year", "month"])
+    loaded = plan.output(spark, path, "immigration")
+    return loaded.select(*[F.col(c).cast("string").alias(c) if c.endswith("_date") else c for c in _ANY_ORDER])
+
+
+@query(f"""{_DATED}, {_DAILY},{GDP_SQL}
+SELECT 'immigration' AS "table", count(*) AS n, sum(num_previous_stays)::BIGINT AS total, count(DISTINCT admnum) AS n_keys FROM fact
+UNION ALL SELECT 'ml_data', count(*), sum(num_previous_stays)::BIGINT, count(DISTINCT country_citizenship) FROM fact
+UNION ALL SELECT 'immigration_stats', count(*), sum(count)::BIGINT, count(DISTINCT country_code_iso_2) FROM daily
+UNION ALL SELECT 'country', count(*), 0, count(DISTINCT country_code) FROM countries
+UNION ALL SELECT 'gdp', count(*), sum(gdp_value)::BIGINT, count(DISTINCT country_code) FROM gdp""")
+def arrivals_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All records loaded; then a load of other records that fails after its first tables leaves every table as it was."""
+    path, dims = scratch(spark, "failed"), dimensions(spark, sf_dir)
+    raw = stored(raw_arrivals(spark, sf_dir).where("arrdate >= 0"), "raw")
+    plan.run(spark, raw, dims, path, ["cicid"], ["year", "month"])
+    broken = replace(dims, iso=dims.iso.withColumn("country_code", F.raise_error(F.lit("lookup is broken")).cast("string")))
+    try:
+        plan.run(spark, raw.where("cicid % 3 = 0"), broken, path, ["cicid"], ["year", "month"])
+    except PySparkException:
+        pass
+    keys = {
+        "immigration": ("num_previous_stays", "admnum"), "ml_data": ("num_previous_stays", "country_citizenship"),
+        "immigration_stats": ("count", "country_code_iso_2"), "country": (None, "country_code"), "gdp": ("gdp_value", "country_code"),
+    }
+    frames = []
+    for name, (value, key) in keys.items():
+        total = F.sum(value).cast("long") if value else F.lit(0).cast("long")
+        counted = plan.output(spark, path, name).agg(F.count("*").alias("n"), total.alias("total"), F.count_distinct(key).alias("n_keys"))
+        frames.append(counted.withColumn("table", F.lit(name)))
+    return union_frames(frames, ["table", "n", "total", "n_keys"])

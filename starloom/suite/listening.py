@@ -6,11 +6,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import first_per_key, top_n_per_key, with_row_id
-from starloom.operators.joins import unmatched_counts
+from starloom.operators.joins import attribute_join, unmatched_counts
 from starloom.operators.profile import group_count
 from starloom.operators.projection import lookup
 from starloom.plans import listening as plan
-from starloom.scale import scratch
+from starloom.plans import listening_hourly as hourly
+from starloom.scale import scratch, stored
+from starloom.sources.manifest import Store
 from starloom.sources.readers import union_frames
 from starloom.suite.registry import query
 from starloom.suite.views import CATALOG_SQL, PLAY_LOG_SQL, catalog, play_log, table
@@ -282,3 +284,59 @@ def listening_load(spark: SparkSession, sf_dir: str) -> DataFrame:
         for name, key in keys.items()
     ]
     return union_frames(counts, ["table", "n", "n_matched"])
+
+
+@query(f"""{_BOTH},{_SINGLE}, steps AS (SELECT DISTINCT ts // 1000 AS start_time, userId, sessionId, itemInSession FROM plays),
+  months AS (SELECT year(make_timestamp(start_time * 1000000))::INTEGER AS year,
+    month(make_timestamp(start_time * 1000000))::INTEGER AS month, * FROM steps),
+  states AS (SELECT userId, level FROM plays
+    QUALIFY row_number() OVER (PARTITION BY userId ORDER BY ts DESC, level DESC, firstName DESC, lastName DESC, gender DESC) = 1)
+SELECT 'songplays' AS "table", year, month, count(*) AS n, count(DISTINCT userId) AS n_keys, sum(start_time)::BIGINT AS total FROM months GROUP BY ALL
+UNION ALL SELECT 'time', year, month, count(DISTINCT start_time), count(DISTINCT start_time), sum(DISTINCT start_time)::BIGINT FROM months GROUP BY ALL
+UNION ALL SELECT 'users', NULL, NULL, count(*), count(*) FILTER (WHERE level = 'paid'), sum(userId::BIGINT)::BIGINT FROM states
+UNION ALL SELECT 'songs', NULL, NULL, count(*), count(DISTINCT song_id), sum(year)::BIGINT FROM catalog
+UNION ALL SELECT 'artists', NULL, NULL, count(DISTINCT artist_id), count(DISTINCT artist_id), NULL FROM catalog""")
+def listening_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw files arrive in three steps, each loaded by its own run; the last run again, and once more from a lost checkpoint."""
+    path = scratch(spark, "hourly")
+    log = stored(play_log(spark, sf_dir, with_user=True).withColumn("step", F.pmod(F.xxhash64("sessionId"), F.lit(3))), "log")
+    catalog(spark, sf_dir).write.json(f"{path}/songs")
+    for step in range(3):
+        log.where(F.col("step") == step).drop("step").coalesce(4).write.json(f"{path}/log/hour={step}")
+        hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/progress")
+    hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/progress")
+    hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/lost")
+    store = Store(spark, f"{path}/out")
+    plays, time, users, songs, artists = (hourly.table(store, n) for n in ("songplays", "time", "users", "songs", "artists"))
+
+    def counted(name, df, keys, total, by=()):
+        out = df.groupBy(*by).agg(F.count("*").alias("n"), keys.alias("n_keys"), total.cast("long").alias("total"))
+        return out.withColumns({"table": F.lit(name), **{c: F.lit(None).cast("int") for c in ("year", "month") if c not in by}})
+
+    months = ["year", "month"]
+    frames = [
+        counted("songplays", plays, F.count_distinct("user_id"), F.sum("start_time"), months),
+        counted("time", time, F.count_distinct("start_time"), F.sum("start_time"), months),
+        counted("users", users, F.count_if(F.col("level") == "paid"), F.sum(F.col("user_id").cast("long"))),
+        counted("songs", songs, F.count_distinct("song_id"), F.sum("year")),
+        counted("artists", artists, F.count_distinct("artist_id"), F.lit(None)),
+    ]
+    return union_frames(frames, ["table", "year", "month", "n", "n_keys", "total"])
+
+
+@query("""WITH c AS (SELECT CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE c_custkey % 500 + 1 END AS k, c_custkey FROM customer),
+  s AS (SELECT CASE WHEN s_suppkey % 3 = 0 THEN 0 ELSE s_suppkey % 500 + 1 END AS sk, s_suppkey FROM supplier)
+SELECT kind, k, count(*) AS n, sum(c_custkey)::BIGINT AS customers, sum(s_suppkey)::BIGINT AS suppliers FROM (
+  SELECT 'inner' AS kind, k, c_custkey, s_suppkey FROM c JOIN s ON k = sk
+  UNION ALL SELECT 'left', k, c_custkey, s_suppkey FROM c LEFT JOIN s ON k = sk) GROUP BY ALL""")
+def attribute_join_hot_both(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One key holds a third of both sides; its rows meet in a grid of tasks, all pairs of them."""
+    key = lambda c: F.when(F.col(c) % 3 == 0, F.lit(0)).otherwise(F.col(c) % 500 + 1)
+    left = table(spark, sf_dir, "customer").select(key("c_custkey").alias("k"), "c_custkey")
+    right = table(spark, sf_dir, "supplier").select(key("s_suppkey").alias("sk"), "s_suppkey")
+    frames = []
+    for how in ("inner", "left"):
+        joined = attribute_join(left, right, {"k": "sk"}, how, keep=["s_suppkey"], broadcast_rows=0, hot_rows=1, hot_share=0.02)
+        sums = joined.groupBy("k").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("customers"), F.sum("s_suppkey").alias("suppliers"))
+        frames.append(sums.withColumn("kind", F.lit(how)))
+    return union_frames(frames, ["kind", "k", "n", "customers", "suppliers"])

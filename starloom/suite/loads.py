@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from starloom.scale import scratch
 from starloom.sources import readers, writers
-from starloom.sources.snapshots import read_snapshot, upsert
+from starloom.sources.key_index import candidates
+from starloom.sources.snapshots import bucket_versions, read_snapshot, rebucket, upsert
 from starloom.streaming.incremental import dimension_sink, fact_sink, load_stream
 from starloom.suite.registry import query
 from starloom.suite.views import PLAY_LOG_SQL, play_log, table
@@ -305,3 +306,56 @@ def stream_upsert_restart(spark: SparkSession, sf_dir: str) -> DataFrame:
     load_stream(spark, f"{path}/in/batch=[01]", EVENT_FIELDS, sink, f"{path}/progress-0", max_files=8)
     load_stream(spark, f"{path}/in", EVENT_FIELDS, sink, f"{path}/progress-1", max_files=8)
     return read_snapshot(spark, f"{path}/users").select("user_id", "event_id", "event_type")
+
+
+@query("""WITH b AS (SELECT c_custkey, c_custkey % 16 AS bucket, c_nationkey = 3 AND c_custkey % 16 < 5 AS again FROM customer),
+  t AS (SELECT bucket, bool_or(again) AS touched FROM b GROUP BY ALL)
+SELECT b.bucket::INTEGER AS bucket, CASE WHEN touched THEN 2 ELSE 1 END AS written_by, count(*) AS n,
+       count(*) FILTER (WHERE again) AS n_again, sum(CASE WHEN again THEN -1 ELSE c_custkey END)::BIGINT AS total
+FROM b JOIN t ON b.bucket = t.bucket GROUP BY ALL""")
+def upsert_buckets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Which snapshot wrote each bucket, after a second batch with keys of some buckets and a replay of it."""
+    path = scratch(spark, "buckets")
+    first = table(spark, sf_dir, "customer").select("c_custkey", F.col("c_custkey").alias("value"), F.lit(1).alias("t"))
+    again = table(spark, sf_dir, "customer").where("c_nationkey = 3 AND c_custkey % 16 < 5")
+    second = again.select("c_custkey", F.lit(-1).cast("long").alias("value"), F.lit(2).alias("t"))
+    upsert(first, path, ["c_custkey"], ["t"], buckets=16, spread="c_custkey", writer="load", batch_id=0)
+    for _ in range(2):
+        upsert(second, path, ["c_custkey"], ["t"], writer="load", batch_id=1)
+    held = spark.createDataFrame(list(bucket_versions(spark, path).items()), "bucket int, written_by int")
+    rows = read_snapshot(spark, path).withColumn("bucket", F.pmod("c_custkey", F.lit(16)).cast("int"))
+    counted = rows.groupBy("bucket").agg(F.count("*").alias("n"), F.count_if(F.col("t") == 2).alias("n_again"), F.sum("value").alias("total"))
+    return counted.join(F.broadcast(held), "bucket").select("bucket", "written_by", "n", "n_again", "total")
+
+
+@query("""SELECT user_id, max(event_id) AS event_id, buckets FROM events, (VALUES (64), (7)) b(buckets) GROUP BY ALL""")
+def upsert_rebucketed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One half upserted, the table dealt into another number of buckets, then the other half; both snapshots of the end agree."""
+    path = scratch(spark, "rebucket")
+    events = table(spark, sf_dir, "events").select("user_id", "event_id")
+    odd = F.col("event_id") % 2 == 1
+    upsert(events.where(odd), path, ["user_id"], ["event_id"])
+    rebucket(spark, path, 7)
+    seven = upsert(events.where(~odd), path, ["user_id"], ["event_id"])
+    more = rebucket(spark, path, 64)
+    frames = [read_snapshot(spark, path, v).withColumn("buckets", F.lit(n)) for v, n in ((seven, 7), (more, 64))]
+    return readers.union_frames(frames, ["user_id", "event_id", "buckets"])
+
+
+@query("""SELECT event_type, count(*) AS n, count(DISTINCT event_id) AS n_ids, true AS new_opens_none, true AS old_opens_few
+FROM events GROUP BY ALL""")
+def append_new_indexed(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Loads by ten-day spans, each with the span before once more; new keys open no file, keys of one span not all of them."""
+    path = scratch(spark, "indexed")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "ts", F.floor(F.dayofmonth("ts") / 11).alias("span"))
+    stored = events.drop("span", "ts")
+    for span in range(3):  # many small files, as hourly loads leave them
+        batch = events.where(F.col("span").between(span - 1, span)).drop("span", "ts")
+        writers.append_new(batch.repartition(writers.INDEXED_FILES), path, ["event_id"])
+    target = writers.read_target(spark, path, stored.schema)
+    opened = {
+        "new_opens_none": len(candidates(stored.withColumn("event_id", -F.col("event_id") - 1), target, path, ["event_id"])) == 0,
+        "old_opens_few": 0 < len(candidates(events.where("span = 0").drop("span", "ts"), target, path, ["event_id"])) < len(target.inputFiles()),
+    }
+    counted = target.groupBy("event_type").agg(F.count("*").alias("n"), F.countDistinct("event_id").alias("n_ids"))
+    return counted.withColumns({name: F.lit(flag) for name, flag in opened.items()})

@@ -110,29 +110,120 @@ def test_outputs(spark, raw, dims, tmp_path):
     out = str(tmp_path)
     for _ in range(2):
         plan.run(spark, raw, dims, out, tie=["cicid"])
-    fact = spark.read.parquet(f"{out}/immigration")
+    fact = plan.output(spark, out, "immigration")
     assert sorted(fact.columns) == sorted(plan.FACT_COLUMNS) and fact.count() == 12
-    assert fact.rdd.getNumPartitions() >= 1 and (tmp_path / "immigration/year=2016/month=4/day=22").is_dir()
-    assert rows(spark.read.parquet(f"{out}/visa_type")) == [("B2", "Other"), ("B2", "Pleasure")]
-    ml = spark.read.parquet(f"{out}/ml_data")
+    assert list(tmp_path.glob("data/immigration/*/year=2016/month=4/day=22"))
+    assert rows(plan.output(spark, out, "visa_type")) == [("B2", "Other"), ("B2", "Pleasure")]
+    ml = plan.output(spark, out, "ml_data")
     assert sorted(ml.columns) == sorted({*plan.FEATURE_COLUMNS, "year"})
     assert rows(ml.select("country_citizenship_gdp", "country_residence_gdp").distinct()) == [
         (18624475000000, 18624475000000), (18624475000000, None),
     ]
-    stats = spark.read.parquet(f"{out}/immigration_stats").select("country_code_iso_2", "year", "month", "day", "count")
+    stats = plan.output(spark, out, "immigration_stats").select("country_code_iso_2", "year", "month", "day", "count")
     assert rows(stats) == [("MX", 2016, 4, 22, 10), ("MX", 2016, 4, 23, 2)]
     before = rows(fact.select("admnum", "arrival_date", "num_previous_stays"))
     # the same persons a year on: their stays so far count, and the first year's rows stay as they are
     later = raw.withColumns({"arrdate": F.col("arrdate") + 365, "i94yr": F.lit(2017.0)})
     plan.run(spark, later, dims, out, tie=["cicid"])
-    fact = spark.read.parquet(f"{out}/immigration")
+    fact = plan.output(spark, out, "immigration")
     assert rows(fact.where("year = 2016").select("admnum", "arrival_date", "num_previous_stays")) == before
     known = fact.where("admnum > 0").groupBy("admnum").agg(F.max("num_previous_stays").alias("most"), F.count("*").alias("n"))
     assert known.where("most + 1 < n").count() == 0
-    early = raw.withColumns({"arrdate": F.col("arrdate") - 800, "i94yr": F.lit(2013.0)})
-    with pytest.raises(plan.LateArrivalError):
-        plan.run(spark, early, dims, out, tie=["cicid"])
-    assert not (tmp_path / "immigration/year=2013").exists()
+
+
+def parts_of(raw):
+    """The records as days: one person's over four days, others' on some of them, one day per batch."""
+    day = lambda n: raw.where(F.col("cicid") % 2 == n % 2).withColumns({
+        "arrdate": F.lit(20566.0 + n), "cicid": F.col("cicid") + 100 * n, "i94mon": F.lit(4.0),
+        "admnum": F.when(F.col("cicid") > 8, 1.0).otherwise(F.col("admnum")),
+    })
+    return [day(n) for n in range(4)]
+
+
+def everything(spark, out):
+    return {n: rows(plan.output(spark, out, n)) for n in ("immigration", "ml_data", "immigration_stats", "visa_type", "stays", "gdp")}
+
+
+@pytest.fixture(scope="module")
+def full(spark, raw, dims, tmp_path_factory):
+    """All tables after one load of all records."""
+    out, days = str(tmp_path_factory.mktemp("full")), parts_of(raw)
+    plan.run(spark, days[0].union(days[1]).union(days[2]).union(days[3]), dims, out, tie=["cicid"])
+    return everything(spark, out)
+
+
+@pytest.mark.parametrize("order", [[3, 1, 0, 2], [1, 2, 0, 3, 2]])
+def test_days_in_any_order(spark, raw, dims, tmp_path, full, order):
+    """Days in any order, some of them twice, equal one load of all records, in every table and row."""
+    days = parts_of(raw)
+    for n in order:
+        plan.run(spark, days[n], dims, str(tmp_path), tie=["cicid"])
+    assert everything(spark, str(tmp_path)) == full
+
+
+def test_a_day_again_with_other_records(spark, raw, dims, tmp_path):
+    """A day that comes again with fewer records moves the numbers of later days back."""
+    days = parts_of(raw)
+    fewer = days[0].where("cicid < 10")
+    for part in (days[0], days[1], days[2], fewer):
+        plan.run(spark, part, dims, str(tmp_path / "again"), tie=["cicid"])
+    plan.run(spark, fewer.union(days[1]).union(days[2]), dims, str(tmp_path / "full"), tie=["cicid"])
+    again, full = everything(spark, str(tmp_path / "again")), everything(spark, str(tmp_path / "full"))
+    assert {k: v for k, v in again.items() if k != "visa_type"} == {k: v for k, v in full.items() if k != "visa_type"}
+    assert set(again["visa_type"]) >= set(full["visa_type"])
+
+
+def test_late_days_rewrite_only_touched_partitions(spark, raw, dims, tmp_path):
+    out, days = str(tmp_path), parts_of(raw)
+    person = lambda df, n: df.where(F.col("admnum") == n)
+    other = days[2].withColumn("arrdate", F.lit(20572.0)).withColumn("admnum", F.col("admnum") + 50)
+    for part in (days[3], other, person(days[1], 1.0)):
+        plan.run(spark, part, dims, out, tie=["cicid"])
+    written = {u: int(v.split("-")[0]) for u, v in plan.Store(spark, out).commit().units["immigration"].items()}
+    assert written == {"year=2016/month=4/day=25": 3, "year=2016/month=4/day=28": 2, "year=2016/month=4/day=23": 3}
+
+
+def test_one_day_of_a_person_in_two_partitions(spark, raw, dims, tmp_path):
+    out = str(tmp_path)
+    plan.run(spark, raw, dims, out, tie=["cicid"])
+    before = everything(spark, out)
+    with pytest.raises(plan.SplitDayError):
+        plan.run(spark, raw.withColumn("i94mon", F.lit(5.0)), dims, out, tie=["cicid"])
+    assert everything(spark, out) == before
+
+
+def test_a_batch_runs_once(spark, raw, dims, tmp_path):
+    days = parts_of(raw)
+    for version, (part, batch) in enumerate([(days[0], 0), (days[1], 1)], 1):
+        for _ in range(2):
+            assert plan.run(spark, part, dims, str(tmp_path), tie=["cicid"], writer="daily", batch=batch) == version
+
+
+def test_a_failed_load_shows_nothing(spark, raw, dims, tmp_path, monkeypatch, full):
+    """A load that stops before any one of its writes, or before its commit, leaves all tables as they were, and can run again."""
+    out, days = str(tmp_path), parts_of(raw)
+    for n in (1, 2, 3):
+        plan.run(spark, days[n], dims, out, tie=["cicid"])
+    before, commit = everything(spark, out), plan.Store(spark, out).commit()
+    real = plan.Change.replace
+    for fails_at in range(10):
+        calls = iter(range(100))
+
+        def stopping(self, *args, **kwargs):
+            if next(calls) == fails_at:
+                raise RuntimeError("lost")
+            return real(self, *args, **kwargs)
+
+        monkeypatch.setattr(plan.Change, "replace", stopping)
+        if fails_at == 9:
+            monkeypatch.setattr(plan.Store, "_publish", lambda self, commit: (_ for _ in ()).throw(RuntimeError("lost")))
+        with pytest.raises(RuntimeError):
+            plan.run(spark, days[0], dims, out, tie=["cicid"])
+        assert plan.Store(spark, out).commit() == commit  # units of a commit are never written again
+    assert everything(spark, out) == before
+    monkeypatch.undo()
+    plan.run(spark, days[0], dims, out, tie=["cicid"])
+    assert everything(spark, out) == full
 
 
 def test_no_python_in_the_plan(raw, dims):

@@ -44,7 +44,7 @@ def test_arrivals_commands(spark, raw, lookups, tmp_path):
     assert rows(read_snapshot(spark, str(tmp_path / "kv" / "gdp")).select("country_code", "gdp_value")) == [("MEX", 100)]
     assert read_snapshot(spark, str(tmp_path / "kv" / "visa_type")).count() == 1
     model, features = str(tmp_path / "model"), str(tmp_path / "features")
-    repeated = spark.read.parquet(f"{out}/ml_data").withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(60))))
+    repeated = tables.read_tables(spark, out, ["ml_data"])["ml_data"].withColumn("id", F.explode(F.sequence(F.lit(1), F.lit(60))))
     repeated.withColumn("is_overstay", F.col("id") % 3 == 0).drop("id").write.parquet(features)
     assert jobs.main(["train", "--features", features, "--model", model, "--folds", "2"]) == 0
     assert jobs.main(["score", "--features", features, "--model", model, "--out", str(tmp_path / "scored")]) == 0

@@ -2,6 +2,7 @@ import random
 
 import pytest
 
+from starloom import scale
 from starloom.operators.joins import attribute_join, enrich, keep_if_valid, lookup_join, unmatched, unmatched_counts
 from tests.conftest import rows
 
@@ -95,3 +96,34 @@ def test_keys_of_different_types_match(spark, options):
     left = spark.createDataFrame([(i, i % 3) for i in range(30)], "id int, k int")
     right = spark.createDataFrame([(0, "a"), (1, "b")], "rk bigint, v string")
     assert attribute_join(left, right, {"k": "rk"}, **options).count() == 20
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("share", [0.01, 0.05, 0.2])
+def test_keys_hot_on_both_sides(spark, how, share):
+    """Keys heavy on both sides, on one side only, absent on the other, and null ones: as a broadcast join."""
+    rng = random.Random(9)
+    pick = lambda heavy, n: [
+        (i, rng.choice(heavy) if rng.random() < 0.6 else None if rng.random() < 0.1 else f"k{rng.randrange(60)}") for i in range(n)
+    ]
+    left = spark.createDataFrame(pick(["both", "left", "lone left"], 900), "id int, k string").repartition(4)
+    right = spark.createDataFrame([*pick(["both", "right", "lone right"], 500), (-1, "left")], "v int, rk string").repartition(3)
+    left = left.unionByName(spark.createDataFrame([(-2, "right")], "id int, k string"))
+    plain = attribute_join(left, right, {"k": "rk"}, how)
+    grid = attribute_join(left, right, {"k": "rk"}, how, broadcast_rows=0, hot_rows=1, hot_share=share)
+    assert rows(grid) == rows(plain)
+
+
+def test_grid_cells_are_even(spark):
+    """A key with a third of both sides is dealt over cells of about equal size, and no side is copied to all of them."""
+    n = 30_000
+    side = spark.range(n).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 0 ELSE id END AS k").repartition(6)
+    hot = scale.hot_keys(side, ["k"], 1, 0.02)
+    parts = next(iter(hot.values()))
+    assert parts >= 8
+    left, right = scale.grid_sides(side, side, ["k"], ["k"], hot, hot)
+    for df, copies in ((left, parts), (right, parts)):
+        cells = [r["count"] for r in df.where("k = 0").groupBy("_row", "_col").count().collect()]
+        assert len(cells) == parts**2 and sum(cells) == copies * n // 3
+        assert max(cells) < 1.3 * sorted(cells)[len(cells) // 2]
+    assert left.where("k <> 0").count() == n - n // 3

@@ -1,9 +1,14 @@
 import json
+import shutil
 
 import pytest
 
+from starloom import jobs
 from starloom.operators import quality
 from starloom.plans import listening as plan
+from starloom.plans import listening_hourly as hourly
+from starloom.sources import manifest
+from starloom.sources.manifest import Store
 from tests.conftest import rows
 
 # Hand-written rows for the edges: another page, one user at two levels, a repeated
@@ -139,3 +144,81 @@ def test_load_and_check(spark, folders, tmp_path):
         ]),
     })
     quality.enforce(report)
+
+
+def hourly_files(folders, tmp_path, hours):
+    """The log's files dealt over hours, and all songs."""
+    source = sorted(p for p in (folders / "log").rglob("*.json"))
+    lines = [line for p in source for line in p.read_text().splitlines() if line.strip()]
+    shutil.copytree(folders / "songs", tmp_path / "songs", dirs_exist_ok=True)
+    return [lines[h::hours] for h in range(hours)]
+
+
+def everything(spark, out):
+    store = Store(spark, out)
+    return {name: rows(hourly.table(store, name)) for name in ("songplays", "users", "songs", "artists", "time")}
+
+
+@pytest.mark.parametrize("match", ["lookup", "left", "inner"])
+def test_hours_equal_one_load(spark, folders, tmp_path, match):
+    """Three hourly runs, a replay and a lost checkpoint give the tables of one full load."""
+    (tmp_path / "log").mkdir()
+    out, songs, log = str(tmp_path / "out"), str(tmp_path / "songs"), str(tmp_path / "log")
+    for h, lines in enumerate(hourly_files(folders, tmp_path, 3)):
+        (tmp_path / "log" / f"{h}.json").write_text("\n".join(lines))
+        hourly.run(spark, log, songs, out, str(tmp_path / "progress"), match)
+    version = Store(spark, out).commit().version
+    hourly.run(spark, log, songs, out, str(tmp_path / "progress"), match)
+    assert Store(spark, out).commit().version == version
+    after = everything(spark, out)
+    hourly.run(spark, log, songs, out, str(tmp_path / "lost"), match)
+    assert everything(spark, out) == after
+    plan.load(spark, log, songs, str(tmp_path / "full"), match)
+    for name, got in after.items():
+        full = spark.read.parquet(f"{tmp_path}/full/{name}")
+        assert rows(hourly.table(Store(spark, out), name).select(*sorted(full.columns))) == rows(full.select(*sorted(full.columns))), name
+
+
+def test_a_bad_level_stops_with_nothing_written(spark, folders, tmp_path):
+    (tmp_path / "log").mkdir()
+    out, args = str(tmp_path / "out"), [str(tmp_path / "log"), str(tmp_path / "songs"), str(tmp_path / "out"), str(tmp_path / "progress")]
+    first, second = hourly_files(folders, tmp_path, 2)
+    (tmp_path / "log" / "0.json").write_text("\n".join(first))
+    hourly.run(spark, *args)
+    before = everything(spark, out)
+    bad = json.loads(next(x for x in second if "NextSong" in x)) | {"level": "trial", "userId": "77"}
+    (tmp_path / "log" / "1.json").write_text("\n".join([*second, json.dumps(bad)]))
+    for _ in range(2):
+        with pytest.raises(quality.QualityError, match="in_set"):
+            hourly.run(spark, *args)
+        assert everything(spark, out) == before
+    command = ["hourly", "--log", args[0], "--songs", args[1], "--out", out, "--progress", args[3]]
+    assert jobs.main(command) == 1
+    (tmp_path / "log" / "1.json").write_text("\n".join(second))
+    assert jobs.main(command) == 0
+    assert everything(spark, out)["songplays"] != before["songplays"]
+
+
+def test_an_older_state_that_arrives_later(spark, folders, tmp_path):
+    """The user keeps the newest state, whatever order it comes in; new plays of a stored second add no moment."""
+    lines = [json.loads(x) for part in hourly_files(folders, tmp_path, 1) for x in part if "NextSong" in x]
+    play = max(lines, key=lambda r: r["ts"])
+    older = play | {"ts": play["ts"] - 5000, "level": "free", "itemInSession": 90}
+    newer = play | {"ts": play["ts"], "level": "paid", "itemInSession": 91}
+    for n, record in enumerate((newer, older, newer | {"itemInSession": 92})):
+        path = tmp_path / f"{n}.json"
+        path.write_text(json.dumps(record))
+        hourly.add_plays(spark, plan.read_json(spark, str(path), plan.LOG_SCHEMA), str(tmp_path / "out"))
+    got = {n: hourly.table(Store(spark, str(tmp_path / "out")), n) for n in ("users", "time", "songplays")}
+    assert [r.level for r in got["users"].collect()] == ["paid"]
+    assert got["time"].count() == 2 and got["songplays"].count() == 3
+
+
+def test_many_appends_are_joined(spark, tmp_path):
+    change = Store(spark, str(tmp_path / "s")).begin()
+    for n in range(3):
+        change.append("t", spark.createDataFrame([(1, n), (2 + n, n)], "d int, v int"), ["d"])
+    assert sorted(len(manifest.holders(v)) for v in change.units["t"].values()) == [1, 1, 1, 3]
+    before = rows(change.read("t"))
+    assert change.compact("t", ["d"], parts=3) == ["d=1"]
+    assert rows(change.read("t")) == before and {len(manifest.holders(v)) for v in change.units["t"].values()} == {1}

@@ -27,7 +27,7 @@ def test_funnel_counts_null_predicates_as_no(df):
 
 
 def test_sets_and_extremes(df):
-    assert rows(profile.invalid_values(df, "s", ["a"])) == [("b", 1), (None, 1)]
+    assert rows(profile.invalid_values(df, "s", ["a"])) == [("b", 1), (None, 2)]
     assert rows(profile.invalid_values(df, "s", ["a"], allow_null=True)) == [("b", 1)]
     assert rows(profile.min_max(df, "x")) == [(1.0, 5.0)]
     assert rows(profile.distinct_values(df, "s")) == [("a",), ("b",), (None,)]

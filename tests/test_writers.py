@@ -1,5 +1,6 @@
 import glob
 import os
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,12 +99,10 @@ def test_a_key_that_moved_is_known_in_any_partition(spark, tmp_path, monkeypatch
     assert rows(spark.read.parquet(path).select("k", "p")) == [(1, "a"), (2, "b"), (3, "a")]
 
 
-@pytest.mark.parametrize("small", [True, False])
-def test_upsert_null_keys(spark, tmp_path, monkeypatch, small):
-    if not small:
-        monkeypatch.setattr(snapshots, "size_checked", lambda df, measure=None: (df, False))
+@pytest.mark.parametrize("buckets", [1, 64])
+def test_upsert_null_keys(spark, tmp_path, buckets):
     path = str(tmp_path / "t")
-    snapshots.upsert(spark.createDataFrame([(None, 1), (7, 1)], "k int, t int"), path, ["k"], ["t"])
+    snapshots.upsert(spark.createDataFrame([(None, 1), (7, 1)], "k int, t int"), path, ["k"], ["t"], buckets=buckets)
     snapshots.upsert(spark.createDataFrame([(None, 2)], "k int, t int"), path, ["k"], ["t"])
     assert rows(snapshots.read_snapshot(spark, path)) == rows(spark.createDataFrame([(None, 2), (7, 1)], "k int, t int"))
 
@@ -155,12 +154,22 @@ def test_upsert_by_order_and_by_arrival(spark, tmp_path):
     assert rows(snapshots.read_snapshot(spark, by_order, 1)) == [(1, 5, "old"), (2, 5, "keep")]
 
 
-def test_upsert_large_batch_takes_the_shuffle_path(spark, tmp_path, monkeypatch):
-    monkeypatch.setattr(snapshots, "size_checked", lambda df, measure=None: (df, False))
+def test_upsert_rewrites_only_touched_buckets(spark, tmp_path):
     path = str(tmp_path / "t")
-    snapshots.upsert(spark.createDataFrame([(1, 5), (2, 5)], "k int, t int"), path, ["k"], ["t"])
-    snapshots.upsert(spark.createDataFrame([(1, 6), (3, 1)], "k int, t int"), path, ["k"], ["t"])
-    assert rows(snapshots.read_snapshot(spark, path)) == [(1, 6), (2, 5), (3, 1)]
+    snapshots.upsert(spark.createDataFrame([(k, 1) for k in range(40)], "k int, t int"), path, ["k"], ["t"], buckets=8, spread="k")
+    before = set(files(path + "/data"))
+    snapshots.upsert(spark.createDataFrame([(3, 2), (11, 2), (100, 2), (6, 0)], "k long, t int"), path, ["k"], ["t"])
+    assert snapshots.bucket_versions(spark, path) == {b: 2 if b in (3, 4, 6) else 1 for b in range(8)}
+    assert before <= set(files(path + "/data"))
+    scanned = {f.rsplit("/", 2)[1] for f in set(files(path + "/data")) - before}
+    assert scanned == {"starloom_bucket=3", "starloom_bucket=4", "starloom_bucket=6"}
+    want = {**dict.fromkeys(range(40), 1), 3: 2, 11: 2, 100: 2}
+    assert dict(rows(snapshots.read_snapshot(spark, path))) == want
+    assert dict(rows(snapshots.read_snapshot(spark, path, 1))) == dict.fromkeys(range(40), 1)
+    assert snapshots.rebucket(spark, path, 3) == 3
+    assert dict(rows(snapshots.read_snapshot(spark, path))) == want and set(snapshots.bucket_versions(spark, path)) == {0, 1, 2}
+    with pytest.raises(ValueError):
+        snapshots.upsert(spark.createDataFrame([(1, 1)], "k int, t int"), path, ["t"], ["k"])
 
 
 def test_uncommitted_snapshot_is_invisible_and_redone(spark, tmp_path):
@@ -181,11 +190,16 @@ def test_uncommitted_snapshot_is_invisible_and_redone(spark, tmp_path):
 
 
 def test_old_snapshots_expire(spark, tmp_path):
+    """Buckets that a kept snapshot names stay, whoever wrote them; those that only older ones named go."""
     path = str(tmp_path / "t")
     for i in range(4):
-        snapshots.upsert(spark.createDataFrame([(i, 1)], "k int, t int"), path, ["k"], ["t"], keep=2)
-    assert sorted(p.name for p in (tmp_path / "t" / "data").iterdir() if not p.name.startswith(".")) == ["snapshot=3", "snapshot=4"]
-    assert len(rows(snapshots.read_snapshot(spark, path))) == 4
+        snapshots.upsert(spark.createDataFrame([(i, 1), (8, i)], "k int, t int"), path, ["k"], ["t"], keep=2, buckets=16, spread="k")
+    left = sorted(re.search(r"version=(\d+)-\w+/starloom_bucket=(\d+)/", f).groups() for f in files(path + "/data"))
+    assert left == [("1", "0"), ("2", "1"), ("3", "2"), ("3", "8"), ("4", "3"), ("4", "8")]
+    assert rows(snapshots.read_snapshot(spark, path)) == [(0, 1), (1, 1), (2, 1), (3, 1), (8, 3)]
+    assert rows(snapshots.read_snapshot(spark, path, 3)) == [(0, 1), (1, 1), (2, 1), (8, 2)]
+    with pytest.raises(FileNotFoundError):
+        snapshots.read_snapshot(spark, path, 2)
 
 
 def test_partitioned_write_splits_a_hot_value(spark):
