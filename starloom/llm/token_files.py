@@ -73,7 +73,6 @@ class Tokens:
             self.sizes[number] = len(token)
         self.led: dict[str, bytes] = {}  # by segment without the space before it
         self.bare: dict[str, bytes] = {}
-        self.odd: set[str] = set()  # what a split at spaces leaves where a gap is longer than one
 
     @staticmethod
     def _parts_at_spaces(made: dict) -> bool:
@@ -119,26 +118,30 @@ class Tokens:
                 yield self._ids([t])[0] + self.end
             return
         if len(self.led) + len(self.bare) > CACHED_SEGMENTS:
-            self.led, self.bare, self.odd = {}, {}, set()
+            self.led, self.bare = {}, {}
         cut = [t.split(" ") for t in texts]
-        segments = set().union(*(c[1:] for c in cut))
-        new = [s for s in segments if s not in self.led]
-        odd = {s for s in new if not s or s[0].isspace() or s[-1].isspace()}
-        self.odd |= odd
-        self.led.update(zip(odd, [b""] * len(odd)))  # never looked up: texts with one are cut with care
-        new = [s for s in new if s not in odd]
+        found = [list(map(self.led.get, c)) for c in cut]  # of the first segment only the text itself is asked below
+        gaps = [[i for i, f in enumerate(x) if f is None and i] for x in found]
+        unseen = {c[i] for c, g in zip(cut, gaps) for i in g}
+        # empty, or with white space at an end: a gap is longer than a space, and the text is cut with care
+        odd = {s for s in unseen if not s or s[0].isspace() or s[-1].isspace()}
+        new = list(unseen - odd)
         self.led.update(zip(new, self._ids_led(new)))
-        careful = self.odd & segments
-        for i, c in enumerate(cut):
-            if c[0][-1:].isspace() or careful and not careful.isdisjoint(c[1:]):
+        for i, (c, g) in enumerate(zip(cut, gaps)):
+            if c[0][-1:].isspace() or odd and any(c[k] in odd for k in g):
                 cut[i] = None
         firsts = {s for c, t in zip(cut, texts) for s in ([c[0]] if c else _BEFORE_SPACE.split(t))}
         bare = [s for s in firsts if s not in self.bare]
         self.bare.update(zip(bare, self._ids(bare)))
-        bare_of, led_of = self.bare.__getitem__, self.led.__getitem__
-        for c, t in zip(cut, texts):
-            found = map(bare_of, _BEFORE_SPACE.split(t)) if c is None else [bare_of(c[0]), *map(led_of, c[1:])]
-            yield b"".join([*found, self.end])
+        for c, x, g, t in zip(cut, found, gaps, texts):
+            if c is None:
+                yield b"".join([*map(self.bare.__getitem__, _BEFORE_SPACE.split(t)), self.end])
+                continue
+            for k in g:
+                x[k] = self.led[c[k]]
+            x[0] = self.bare[c[0]]
+            x.append(self.end)
+            yield b"".join(x)
         for known, fresh in ((self.bare, bare), (self.led, new)):
             for s in fresh:
                 if len(s) > CACHED_CHARS:
