@@ -173,6 +173,19 @@ def enrich_arrivals(clean: DataFrame, dims: Dimensions, columns: Sequence[str] =
     return out.select(*columns)
 
 
+def dropped_arrivals(clean: DataFrame, countries: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """Arrivals that :func:`enrich_arrivals` drops, counted per role and country id, without one included.
+
+    An arrival with two unknown countries counts in both roles. Rows collapse to ids before the lookup.
+    """
+    known = countries.select(F.col("country_id").alias("_known"))
+    roles = []
+    for role in ("citizenship", "residence"):
+        ids = clean.groupBy(F.col(f"country_{role}_id").alias("country_id"), *by).agg(F.count("*").alias("n"))
+        roles.append(ids.join(known, F.col("country_id") == F.col("_known"), "left_anti").withColumn("role", F.lit(role)))
+    return reduce(DataFrame.unionByName, roles)
+
+
 def visa_types(fact: DataFrame) -> DataFrame:
     return distinct_dimension(fact, ["visa_type", "visa_category"])
 
@@ -267,7 +280,7 @@ def run(
     and ``batch`` name a run, so that one that is committed is not done again.
 
     A run replaces the partitions of its own days in the fact, the ledger of
-    stays, the feature table and the counts, and adds new visa types. Days may
+    stays, the feature table, the counts and the report of dropped arrivals, and adds new visa types. Days may
     come in any order, and again with other records: where later days of the
     batch's persons are stored already, their numbers of earlier stays are moved
     and only their partitions are written anew, so that the tables equal one
@@ -299,6 +312,7 @@ def run(
             fact = change.read("immigration", change.units_of("immigration", parts, late))
             change.replace("immigration", _shifted(fact, moved, parts), parts)
     change.replace("immigration", enrich_arrivals(clean, dims), parts, change.units_of("immigration", parts, touched))
+    change.replace("dropped", dropped_arrivals(clean, dims.countries, parts), parts, change.units_of("dropped", parts, touched))
     change.replace("stays", visits, parts, change.units_of("stays", parts, touched))
     for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp}.items():
         change.replace(name, dimension)

@@ -80,7 +80,9 @@ def arrivals_checks(tables: Mapping[str, DataFrame]) -> dict[str, tuple[DataFram
         "immigration": [
             q.not_empty(), q.no_nulls("arrival_date"), q.lowest("num_previous_stays", lambda v: v >= 0),
             q.in_range("day", 1, 31), q.in_range("month", 1, 12), q.highest("year", _plausible_year),
-            q.references("country_citizenship", tables["country"], "country_code"),
+            *[q.no_nulls(c) for c in ("year", "month", "day")],
+            *[q.references(c, tables["country"], "country_code") for c in ("country_citizenship", "country_residence")],
+            *[q.max_length(c, 3) for c in ("country_citizenship", "country_residence")], q.max_length("destination_state", 2),
             q.references("destination_state", tables["state"], "state_code"),
         ],
     }

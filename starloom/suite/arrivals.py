@@ -81,6 +81,14 @@ def required_country(spark: SparkSession, sf_dir: str) -> DataFrame:
     return enrich(out, countries(spark, sf_dir), "i94res", "country_id", columns, required=True).drop("i94res")
 
 
+@query(f"""WITH {RAW_SQL},{COUNTRIES_SQL}
+SELECT role, i94::INTEGER AS country_id, count(*) AS n FROM (
+  SELECT 'citizenship' AS role, i94cit AS i94 FROM raw UNION ALL SELECT 'residence', i94res FROM raw)
+LEFT JOIN countries c ON i94 = c.country_id WHERE c.country_id IS NULL GROUP BY ALL""")
+def arrivals_dropped(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return plan.dropped_arrivals(_typed(spark, sf_dir), countries(spark, sf_dir)).select("role", "country_id", "n")
+
+
 @query(f"{_FACT} SELECT DISTINCT visa_type, visa_category FROM fact")
 def visa_type_dimension(spark: SparkSession, sf_dir: str) -> DataFrame:
     return plan.visa_types(_fact(spark, sf_dir))

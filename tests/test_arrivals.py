@@ -106,6 +106,15 @@ def test_enrich(clean, dims):
     assert got[12]["country_residence"] == "ALB"
 
 
+def test_dropped_arrivals(spark, raw, dims):
+    """Ids without a country, and arrivals without an id, are counted; the fact has the others."""
+    some = raw.withColumn("i94res", F.when(F.col("cicid") < 2, None).otherwise(F.col("i94res")))
+    clean = plan.clean_arrivals(some, tie=["cicid"])
+    dropped = plan.dropped_arrivals(clean, dims.countries)
+    assert rows(dropped.select("role", "country_id", "n")) == [("citizenship", 999, 1), ("residence", None, 2)]
+    assert plan.enrich_arrivals(clean, dims).count() == len(CHANGES) - 3
+
+
 def test_outputs(spark, raw, dims, tmp_path):
     out = str(tmp_path)
     for _ in range(2):
@@ -121,6 +130,7 @@ def test_outputs(spark, raw, dims, tmp_path):
     ]
     stats = plan.output(spark, out, "immigration_stats").select("country_code_iso_2", "year", "month", "day", "count")
     assert rows(stats) == [("MX", 2016, 4, 22, 10), ("MX", 2016, 4, 23, 2)]
+    assert rows(plan.output(spark, out, "dropped").select("role", "country_id", "n")) == [("citizenship", 999, 1)]
     before = rows(fact.select("admnum", "arrival_date", "num_previous_stays"))
     # the same persons a year on: their stays so far count, and the first year's rows stay as they are
     later = raw.withColumns({"arrdate": F.col("arrdate") + 365, "i94yr": F.lit(2017.0)})
