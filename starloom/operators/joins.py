@@ -99,6 +99,43 @@ def _over_grid(
     return left.join(right, on=[*[F.col(a) == F.col(b) for a, b in zip(left_keys, right_keys)], *cells], how="inner")
 
 
+def attribute_join_sums(
+    left: DataFrame,
+    right: DataFrame,
+    on: Mapping[str, str],
+    how: str = "inner",
+    left_sums: Mapping[str, str] | None = None,
+    right_sums: Mapping[str, str] | None = None,
+    count: str = "n",
+    broadcast_rows: int = BROADCAST_ROWS,
+) -> DataFrame:
+    """Number of pairs and sums over all pairs of :func:`attribute_join`, per key, without making the pairs.
+
+    ``{output column: whole-number column}`` names the sums over either side's column. Each side
+    collapses to a row per key before they meet: a left row counts once for
+    every right row of its key, so a sum over pairs is a side's sum times the other's rows. A key
+    with any number of rows on both sides costs a row per key and task, where its pairs are their product.
+    Sums leave out nulls and are null where no value is left, as over the pairs.
+    """
+    if how not in ("inner", "left"):
+        raise ValueError(f"no sums of pairs for a join that is {how!r}")
+    left_sums, right_sums = left_sums or {}, right_sums or {}
+    ours = left.groupBy(*on).agg(F.count("*").alias("_l_n"), *[F.sum(c).alias(f"_ls_{name}") for name, c in left_sums.items()])
+    theirs = right.dropna(subset=list(on.values())).groupBy(*[F.col(r).alias(f"_r_{r}") for r in on.values()]).agg(
+        F.count("*").alias("_r_n"), *[F.sum(c).alias(f"_rs_{name}") for name, c in right_sums.items()]
+    )
+    sides = {l: f"_r_{r}" for l, r in on.items()}
+    kept = ["_r_n", *[f"_rs_{name}" for name in right_sums]]
+    met = attribute_join(ours, theirs, sides, how, keep=kept, broadcast_rows=broadcast_rows, hot={}, unique_right=True)
+    times = F.coalesce("_r_n", F.lit(1))  # a left row without a match is one row of a left join
+    # again per key: right keys of another type may have become equal
+    return met.groupBy(*on).agg(
+        F.sum(F.col("_l_n") * times).alias(count),
+        *[F.sum(F.col(f"_ls_{name}") * times).alias(name) for name in left_sums],
+        *[F.sum(F.col(f"_rs_{name}") * F.col("_l_n")).alias(name) for name in right_sums],
+    )
+
+
 def lookup_join(
     left: DataFrame,
     right: DataFrame,

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from starloom.operators.dedup import first_per_key, top_n_per_key, with_row_id
-from starloom.operators.joins import attribute_join, unmatched_counts
+from starloom.operators.joins import attribute_join_sums, unmatched_counts
 from starloom.operators.profile import group_count
 from starloom.operators.projection import lookup
 from starloom.plans import listening as plan
@@ -330,13 +330,12 @@ SELECT kind, k, count(*) AS n, sum(c_custkey)::BIGINT AS customers, sum(s_suppke
   SELECT 'inner' AS kind, k, c_custkey, s_suppkey FROM c JOIN s ON k = sk
   UNION ALL SELECT 'left', k, c_custkey, s_suppkey FROM c LEFT JOIN s ON k = sk) GROUP BY ALL""")
 def attribute_join_hot_both(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One key holds a third of both sides; its rows meet in a grid of tasks, all pairs of them."""
+    """One key holds a third of both sides; its pairs are counted and summed from a row per key of either side."""
     key = lambda c: F.when(F.col(c) % 3 == 0, F.lit(0)).otherwise(F.col(c) % 500 + 1)
     left = table(spark, sf_dir, "customer").select(key("c_custkey").alias("k"), "c_custkey")
     right = table(spark, sf_dir, "supplier").select(key("s_suppkey").alias("sk"), "s_suppkey")
     frames = []
     for how in ("inner", "left"):
-        joined = attribute_join(left, right, {"k": "sk"}, how, keep=["s_suppkey"], broadcast_rows=0, hot_rows=1, hot_share=0.02)
-        sums = joined.groupBy("k").agg(F.count("*").alias("n"), F.sum("c_custkey").alias("customers"), F.sum("s_suppkey").alias("suppliers"))
+        sums = attribute_join_sums(left, right, {"k": "sk"}, how, {"customers": "c_custkey"}, {"suppliers": "s_suppkey"}, broadcast_rows=0)
         frames.append(sums.withColumn("kind", F.lit(how)))
     return union_frames(frames, ["kind", "k", "n", "customers", "suppliers"])

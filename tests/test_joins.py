@@ -1,9 +1,10 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from starloom import scale
-from starloom.operators.joins import attribute_join, enrich, keep_if_valid, lookup_join, unmatched, unmatched_counts
+from starloom.operators.joins import attribute_join, attribute_join_sums, enrich, keep_if_valid, lookup_join, unmatched, unmatched_counts
 from tests.conftest import rows
 
 ON = {"song": "title", "artist": "name"}
@@ -127,3 +128,22 @@ def test_grid_cells_are_even(spark):
         assert len(cells) == parts**2 and sum(cells) == copies * n // 3
         assert max(cells) < 1.3 * sorted(cells)[len(cells) // 2]
     assert left.where("k <> 0").count() == n - n // 3
+
+
+@pytest.mark.parametrize("how", ["inner", "left"])
+@pytest.mark.parametrize("kind", ["string", "bigint"])
+def test_sums_of_pairs_without_the_pairs(spark, how, kind):
+    """Keys repeated on both sides, alone on one, null keys and values, right keys that a cast makes equal: as summed over the pairs."""
+    left = spark.createDataFrame([(1, 5), (1, None), (1, 7), (2, 3), (3, 4), (None, 8), (None, 9), (4, None)], "k int, a int")
+    right = spark.createDataFrame([("1", 10), ("1", 20), ("01", 5), ("2", None), ("4", 6), ("5", 1), (None, 2)], "rk string, b int")
+    right = right.withColumn("rk", F.col("rk").cast(kind))
+    pairs = attribute_join(left, right, {"k": "rk"}, how).groupBy("k").agg(F.count("*"), F.sum("a"), F.sum("b"))
+    for options in ({}, {"broadcast_rows": 0}):
+        assert rows(attribute_join_sums(left, right, {"k": "rk"}, how, {"sa": "a"}, {"sb": "b"}, **options)) == rows(pairs)
+
+
+def test_sums_of_pairs_make_no_pairs(spark):
+    """A key with 100,000 rows on both sides has 10 billion pairs."""
+    side = spark.range(100_000).selectExpr("id", "0 AS k")
+    got = attribute_join_sums(side, side.withColumnsRenamed({"id": "rid", "k": "rk"}), {"k": "rk"}, "left", {"a": "id"}, {"b": "rid"})
+    assert rows(got) == [(0, 10**10, 4_999_950_000 * 10**5, 4_999_950_000 * 10**5)]
