@@ -302,7 +302,7 @@ def listening_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     log = stored(play_log(spark, sf_dir, with_user=True).withColumn("step", F.pmod(F.xxhash64("sessionId"), F.lit(3))), "log")
     catalog(spark, sf_dir).write.json(f"{path}/songs")
     for step in range(3):
-        log.where(F.col("step") == step).drop("step").coalesce(4).write.json(f"{path}/log/hour={step}")
+        log.where(F.col("step") == step).drop("step").write.json(f"{path}/log/hour={step}")
         hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/progress")
     hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/progress")
     hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/lost")

@@ -1,3 +1,4 @@
+import datetime
 import json
 import shutil
 
@@ -9,6 +10,7 @@ from starloom.plans import listening as plan
 from starloom.plans import listening_hourly as hourly
 from starloom.sources import manifest
 from starloom.sources.manifest import Store
+from starloom.suite import listening as queries
 from tests.conftest import rows
 
 # Hand-written rows for the edges: another page, one user at two levels, a repeated
@@ -222,3 +224,37 @@ def test_many_appends_are_joined(spark, tmp_path):
     before = rows(change.read("t"))
     assert change.compact("t", ["d"], parts=3) == ["d=1"]
     assert rows(change.read("t")) == before and {len(manifest.holders(v)) for v in change.units["t"].values()} == {1}
+
+
+def test_stored_plays_are_left_out_before_they_are_matched(spark, log, catalog, tmp_path, monkeypatch):
+    """A replay by another stream matches no play; one new play among the stored ones is the only one matched."""
+    out, matched, build = str(tmp_path / "out"), [], plan.build_fact
+
+    def counting(rows, *args, **options):
+        matched.append(rows.count())
+        return build(rows, *args, **options)
+
+    monkeypatch.setattr(plan, "build_fact", counting)
+    hourly.add_songs(spark, catalog, out)
+    new = spark.createDataFrame([full({**LOG[0], "sessionId": 9})], plan.LOG_SCHEMA)
+    for step in (log, log, log.unionByName(new)):
+        hourly.add_plays(spark, step, out)
+    assert matched == [5, 0, 1]
+    assert hourly.table(Store(spark, out), "songplays").count() == 6
+
+
+def test_raw_log_is_written_compressed(spark, tmp_path, monkeypatch):
+    """The load's raw records, by far its largest output, lie compressed, and all of them are loaded."""
+    day = datetime.datetime(2020, 1, 1)
+    tables = {
+        "lineitem": ([(i, i % 3, 1, "N", "F", 0.0, day) for i in range(9)], "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_discount double, l_shipdate timestamp"),
+        "orders": ([(i, i % 4, "O", "1-URGENT") for i in range(9)], "o_orderkey long, o_custkey long, o_orderstatus string, o_orderpriority string"),
+        "part": ([(i, f"p{i}", "b", "t", 2, 10.0) for i in range(3)], "p_partkey long, p_name string, p_brand string, p_type string, p_size int, p_retailprice double"),
+    }
+    for name, (data, schema) in tables.items():
+        spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    got = {r["table"]: (r["n"], r["n_matched"]) for r in queries.listening_load(spark, str(tmp_path)).collect()}
+    assert got == {"songplays": (9, 9), "songs": (3, 3), "artists": (1, 1), "users": (4, 4), "time": (9, 9)}
+    files = [p.name for kind in ("log", "songs") for p in (tmp_path / "listening" / kind).glob("part-*")]
+    assert files and all(f.endswith(".json.gz") for f in files)
