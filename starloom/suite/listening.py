@@ -274,8 +274,9 @@ UNION ALL SELECT 'time', count(*), count(*) FROM moments""")
 def listening_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Log and catalog as raw JSON, loaded to the five tables and counted from storage."""
     path = scratch(spark, "listening")
-    play_log(spark, sf_dir, with_user=True).write.json(f"{path}/log")
-    catalog(spark, sf_dir).write.json(f"{path}/songs")
+    # raw logs are kept compressed: as plain text they would outweigh all else that is written
+    play_log(spark, sf_dir, with_user=True).write.option("compression", "gzip").json(f"{path}/log")
+    catalog(spark, sf_dir).write.option("compression", "gzip").json(f"{path}/songs")
     plan.load(spark, f"{path}/log", f"{path}/songs", f"{path}/out")
     keys = {"songplays": "song_id", "songs": "song_id", "artists": "artist_id", "users": "user_id", "time": "start_time"}
     counts = [
