@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from functools import reduce
 from operator import and_
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -262,6 +264,14 @@ def _shifted(fact: DataFrame, moved: DataFrame, partition_by: Sequence[str]) ->
     return joined.withColumn("num_previous_stays", count).select(*fact.columns)
 
 
+def _together(*steps: Callable[[], object]) -> None:
+    """Run steps that do not depend on each other at one time: the small ones wait for the driver more than for tasks."""
+    with ThreadPoolExecutor(len(steps)) as pool:
+        begun = [pool.submit(inheritable_thread_target(step)) for step in steps]
+    for step in begun:
+        step.result()
+
+
 def run(
     spark: SparkSession,
     raw: DataFrame,
@@ -297,32 +307,41 @@ def run(
     visits = stays(typed, parts)
     clean = counted_arrivals(typed, tie)
     late: set = set()
+    shifts: list[Callable[[], object]] = []
     if change.has("stays"):
+        visits = stored(visits, "visits")
         timeline = stored(_timeline(change, visits, parts, touched), "timeline")
         split = timeline.where("split").limit(1).collect()
         if split:
             raise SplitDayError(f"person {split[0]['admnum']} arrives on {split[0]['arrival_date']} in two partitions")
         # a person and day may lie in several partitions of one batch; the stays before it are the same
-        earlier = timeline.where("kind = 'batch'").groupBy("admnum", "arrival_date").agg(F.max("earlier").alias("_earlier"))
+        earlier = timeline.where("kind = 'batch' AND earlier > 0").groupBy("admnum", "arrival_date").agg(F.max("earlier").alias("_earlier"))
         count = F.col("num_previous_stays") + F.coalesce("_earlier", F.lit(0))
         clean = clean.join(earlier, ["admnum", "arrival_date"], "left").withColumn("num_previous_stays", count).select(*clean.columns)
         moved = timeline.where("kind = 'stored'")
         late = partition_values(moved, parts)
         if late:
-            fact = change.read("immigration", change.units_of("immigration", parts, late))
-            change.replace("immigration", _shifted(fact, moved, parts), parts)
-    change.replace("immigration", enrich_arrivals(clean, dims), parts, change.units_of("immigration", parts, touched))
-    change.replace("dropped", dropped_arrivals(clean, dims.countries, parts), parts, change.units_of("dropped", parts, touched))
-    change.replace("stays", visits, parts, change.units_of("stays", parts, touched))
-    for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp}.items():
-        change.replace(name, dimension)
+            before = change.read("immigration", change.units_of("immigration", parts, late))
+            shifts = [lambda: change.replace("immigration", _shifted(before, moved, parts), parts)]
+    # dropped arrivals are counted before the window: it neither drops nor adds any
+    _together(
+        lambda: change.replace("immigration", enrich_arrivals(clean, dims), parts, change.units_of("immigration", parts, touched)),
+        *shifts,
+        lambda: change.replace("dropped", dropped_arrivals(typed, dims.countries, parts), parts, change.units_of("dropped", parts, touched)),
+        lambda: change.replace("stays", visits, parts, change.units_of("stays", parts, touched)),
+        *[lambda n=name, d=dimension: change.replace(n, d) for name, dimension in {"country": dims.iso, "state": dims.states, "gdp": dims.gdp}.items()],
+    )
     fact = change.read("immigration", change.units_of("immigration", parts, touched))
     seen = visa_types(fact)
-    change.replace("visa_type", seen.unionByName(change.read("visa_type")).distinct() if change.has("visa_type") else seen)
+    types = seen.unionByName(change.read("visa_type")).distinct() if change.has("visa_type") else seen
     changed = change.read("immigration", change.units_of("immigration", parts, touched | late))
     features = ml_features(changed, change.read("gdp"), list(dict.fromkeys([*FEATURE_COLUMNS, *parts])))
-    change.replace("ml_data", features, parts, change.units_of("ml_data", parts, touched | late))
-    change.replace("immigration_stats", daily_counts(fact, dims.iso), parts, change.units_of("immigration_stats", parts, touched))
+    _together(
+        lambda: change.replace("visa_type", types),
+        # the fact is read partition by partition, so its features are written as they lie
+        lambda: change.replace("ml_data", features, parts, change.units_of("ml_data", parts, touched | late), even=False),
+        lambda: change.replace("immigration_stats", daily_counts(fact, dims.iso), parts, change.units_of("immigration_stats", parts, touched)),
+    )
     return change.commit(keep)
 
 

@@ -13,6 +13,7 @@ from starloom.operators.profile import days_with_rows, funnel, group_by_flag, to
 from starloom.plans import arrivals as plan
 from starloom.scale import scratch, stored
 from starloom.sources.readers import union_frames
+from starloom.sources.writers import write_parquet
 from starloom.suite.registry import query
 from starloom.suite.views import CLEAN_SQL, COUNTRIES_SQL, FACT_SQL, GDP_SQL, RAW_SQL, countries, dimensions, raw_arrivals
 
@@ -195,6 +196,19 @@ def arrivals_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     return union_frames(counts, ["table", "n"])
 
 
+def _by_year(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The dated records, stored by year: a load of a year opens only its files."""
+    raw, path = raw_arrivals(spark, sf_dir).where("arrdate >= 0"), scratch(spark, "raw")
+    write_parquet(raw, path, ["i94yr"])
+    return spark.read.schema(raw.schema).parquet(path)
+
+
+def _settled(spark: SparkSession, sf_dir: str) -> plan.Dimensions:
+    """The dimensions with the figures per country worked out once, not by every load."""
+    dims = dimensions(spark, sf_dir)
+    return replace(dims, gdp=stored(dims.gdp, "gdp"))
+
+
 # a record without a date has no place in loads by date
 _DATED = _FACT.replace("FROM raw", "FROM raw WHERE arrdate >= 0", 1)
 
@@ -208,8 +222,8 @@ UNION ALL SELECT 'visa_type', NULL, NULL, count(*), NULL, NULL, count(DISTINCT v
   FROM (SELECT DISTINCT visa_type, visa_category FROM fact)""")
 def arrivals_daily_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The records loaded year by year, the last year twice, against one full load."""
-    path, dims = scratch(spark, "daily"), dimensions(spark, sf_dir)
-    raw = stored(raw_arrivals(spark, sf_dir).where("arrdate >= 0"), "raw")
+    path, dims = scratch(spark, "daily"), _settled(spark, sf_dir)
+    raw = _by_year(spark, sf_dir)
     years = [r[0] for r in raw.select("i94yr").distinct().orderBy("i94yr").collect()]
     for year in [*years, years[-1]]:
         plan.run(spark, raw.where(F.col("i94yr") == year), dims, path, ["cicid"], ["year", "month"])
@@ -242,8 +256,8 @@ _ANY_ORDER = (
 @query(f"{_DATED} SELECT {', '.join(f'{c}::VARCHAR AS {c}' if c.endswith('_date') else c for c in _ANY_ORDER)} FROM fact")
 def arrivals_any_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Years loaded from the last to the first, one of them with half its records and then again with all: row by row one full load."""
-    path, dims = scratch(spark, "any-order"), dimensions(spark, sf_dir)
-    raw = stored(raw_arrivals(spark, sf_dir).where("arrdate >= 0"), "raw")
+    path, dims = scratch(spark, "any-order"), _settled(spark, sf_dir)
+    raw = _by_year(spark, sf_dir)
     years = [r[0] for r in raw.select("i94yr").distinct().orderBy(F.desc("i94yr")).collect()]
     half = raw.where((F.col("i94yr") == years[1]) & (F.col("cicid") % 2 == 0))
     for rows in [half, *[raw.where(F.col("i94yr") == y) for y in years]]:
@@ -260,7 +274,7 @@ UNION ALL SELECT 'country', count(*), 0, count(DISTINCT country_code) FROM count
 UNION ALL SELECT 'gdp', count(*), sum(gdp_value)::BIGINT, count(DISTINCT country_code) FROM gdp""")
 def arrivals_failed_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All records loaded; then a load of other records that fails after its first tables leaves every table as it was."""
-    path, dims = scratch(spark, "failed"), dimensions(spark, sf_dir)
+    path, dims = scratch(spark, "failed"), _settled(spark, sf_dir)
     raw = stored(raw_arrivals(spark, sf_dir).where("arrdate >= 0"), "raw")
     plan.run(spark, raw, dims, path, ["cicid"], ["year", "month"])
     broken = replace(dims, iso=dims.iso.withColumn("country_code", F.raise_error(F.lit("lookup is broken")).cast("string")))

@@ -1,4 +1,5 @@
 import datetime as dt
+from threading import Barrier
 
 import pytest
 from pyspark.sql import functions as F
@@ -239,3 +240,18 @@ def test_a_failed_load_shows_nothing(spark, raw, dims, tmp_path, monkeypatch, fu
 def test_no_python_in_the_plan(raw, dims):
     plan_text = plan.enrich_arrivals(plan.clean_arrivals(raw, ["cicid"]), dims)._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan_text
+
+
+def test_independent_outputs_are_written_at_one_time():
+    """Each step waits for the others; an error of one is raised once all have ended."""
+    meet, ended = Barrier(3), []
+
+    def step(n):
+        meet.wait(20)
+        if n == 1:
+            raise ValueError("broken")
+        ended.append(n)
+
+    with pytest.raises(ValueError, match="broken"):
+        plan._together(*[lambda n=n: step(n) for n in range(3)])
+    assert sorted(ended) == [0, 2]
