@@ -8,7 +8,8 @@ nothing behind, and its files come again with the next one.
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Mapping, Sequence
+from collections.abc import Callable, Iterable, Iterator, Mapping, Sequence
+from contextlib import contextmanager
 
 from pyspark.errors import StreamingQueryException
 from pyspark.sql import DataFrame, SparkSession
@@ -18,7 +19,7 @@ from starloom.functions import epoch_timestamp
 from starloom.operators import quality as q
 from starloom.operators.dedup import first_per_key, one_per_key
 from starloom.plans import listening
-from starloom.scale import scratch
+from starloom.scale import discard, freed_shuffles, scratch
 from starloom.sources.manifest import KEEP_VERSIONS, Change, Store, partition_values
 from starloom.sources.snapshots import merge, merged
 from starloom.sources.writers import by_key
@@ -46,20 +47,33 @@ def add_songs(spark: SparkSession, songs: DataFrame, out: str, writer: str = "",
     change = Store(spark, out).begin(writer, batch)
     if change is None:
         return None
-    rows = _staged(spark, songs, "songs")
-    for name, dimension, key in (("songs", listening.songs(rows), "song_id"), ("artists", listening.artists(rows), "artist_id")):
-        merge(change, name, dimension, [key], [c for c in dimension.columns if c != key], pick=first_per_key)
-        q.enforce(q.run_checks({name: (dimension, [q.unique(key), q.no_nulls(key)])}))
-    # what plays look their songs up in
-    merge(change, "catalog", rows.select(*_MATCHES).distinct(), _MATCHES, [], pick=first_per_key)
-    return change.commit(kept)
+    with _staging(spark) as (staged, _):
+        rows = staged(songs, "songs")
+        for name, dimension, key in (("songs", listening.songs(rows), "song_id"), ("artists", listening.artists(rows), "artist_id")):
+            merge(change, name, dimension, [key], [c for c in dimension.columns if c != key], pick=first_per_key)
+            q.enforce(q.run_checks({name: (dimension, [q.unique(key), q.no_nulls(key)])}))
+        # what plays look their songs up in
+        merge(change, "catalog", rows.select(*_MATCHES).distinct(), _MATCHES, [], pick=first_per_key)
+        return change.commit(kept)
 
 
-def _staged(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Rows of a step as Parquet, read by the session itself: a stream's own session plans without adaptive execution."""
-    path = scratch(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+@contextmanager
+def _staging(spark: SparkSession) -> Iterator[tuple[Callable[[DataFrame, str], DataFrame], Callable[[str], None]]]:
+    """How a step stages rows, and how it drops some of them early; all of them go with the step.
+
+    They are Parquet, read by the session itself: a stream's own session plans without adaptive execution.
+    """
+    folder = scratch(spark, "step")
+
+    def staged(df: DataFrame, name: str) -> DataFrame:
+        df.write.parquet(f"{folder}/{name}")
+        return spark.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+    try:
+        with freed_shuffles(spark):
+            yield staged, lambda name: discard(spark, f"{folder}/{name}")
+    finally:
+        discard(spark, folder)
 
 
 def _unknown(change: Change, name: str, rows: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -103,31 +117,33 @@ def add_plays(
     change = Store(spark, out).begin(writer, batch)
     if change is None:
         return None
-    rows = _staged(spark, log.where(F.col("page") == listening.PLAY), "plays")
-    known = merged(change, "catalog") if change.has("catalog") else spark.createDataFrame([], listening.SONG_SCHEMA).select(*_MATCHES)
-    moment = epoch_timestamp("start_time")
-    months = {"year": F.year(moment), "month": F.month(moment)}
-    if match == "lookup":
-        # a song is no part of the key: stored plays are left out before they are matched
-        named = listening.plays(rows).withColumns({"user_id": F.col("userId"), "session_id": F.col("sessionId"), "item": F.col("itemInSession")})
-        new, key = _unknown(change, "songplays", named.withColumns(months), PLAY_KEY), PLAY_KEY
-        fact = listening.build_fact(new.select(*rows.columns), known, match).withColumns(months)
-        fresh = one_per_key(fact, key)
-    else:
-        key = [*PLAY_KEY, "song_id"]
-        fact = listening.build_fact(rows, known, match).withColumns(months)
-        fresh = _unknown(change, "songplays", one_per_key(fact, key), key)
-    fresh = _staged(spark, fresh, "fresh")
-    states = _staged(spark, listening.latest_per_key(listening.user_states(rows), ["user_id"], listening.USER_ORDER), "states")
-    moments = _unknown(change, "time", listening.time_dimension(listening.plays(rows), "start_time"), ["start_time"])
-    moments = _staged(spark, moments, "moments")
-    merge(change, "users", states, ["user_id"], listening.USER_ORDER)
-    change.append("time", moments, MONTH)
-    change.append("songplays", fresh, MONTH)
-    q.enforce(q.run_checks(hourly_checks(change, fresh, states, moments, key)))
-    for name in ("time", "songplays"):
-        change.compact(name, MONTH)
-    return change.commit(kept)
+    with _staging(spark) as (staged, done):
+        rows = staged(log.where(F.col("page") == listening.PLAY), "plays")
+        known = merged(change, "catalog") if change.has("catalog") else spark.createDataFrame([], listening.SONG_SCHEMA).select(*_MATCHES)
+        moment = epoch_timestamp("start_time")
+        months = {"year": F.year(moment), "month": F.month(moment)}
+        if match == "lookup":
+            # a song is no part of the key: stored plays are left out before they are matched
+            named = listening.plays(rows).withColumns({"user_id": F.col("userId"), "session_id": F.col("sessionId"), "item": F.col("itemInSession")})
+            new, key = _unknown(change, "songplays", named.withColumns(months), PLAY_KEY), PLAY_KEY
+            fact = listening.build_fact(new.select(*rows.columns), known, match).withColumns(months)
+            fresh = one_per_key(fact, key)
+        else:
+            key = [*PLAY_KEY, "song_id"]
+            fact = listening.build_fact(rows, known, match).withColumns(months)
+            fresh = _unknown(change, "songplays", one_per_key(fact, key), key)
+        fresh = staged(fresh, "fresh")
+        states = staged(listening.latest_per_key(listening.user_states(rows), ["user_id"], listening.USER_ORDER), "states")
+        moments = _unknown(change, "time", listening.time_dimension(listening.plays(rows), "start_time"), ["start_time"])
+        moments = staged(moments, "moments")
+        done("plays")
+        merge(change, "users", states, ["user_id"], listening.USER_ORDER)
+        change.append("time", moments, MONTH)
+        change.append("songplays", fresh, MONTH)
+        q.enforce(q.run_checks(hourly_checks(change, fresh, states, moments, key)))
+        for name in ("time", "songplays"):
+            change.compact(name, MONTH)
+        return change.commit(kept)
 
 
 def run(

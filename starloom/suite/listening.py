@@ -11,7 +11,7 @@ from starloom.operators.profile import group_count
 from starloom.operators.projection import lookup
 from starloom.plans import listening as plan
 from starloom.plans import listening_hourly as hourly
-from starloom.scale import scratch, stored
+from starloom.scale import discard, freed_shuffles, scratch, stored
 from starloom.sources.manifest import Store
 from starloom.sources.readers import union_frames
 from starloom.suite.registry import query
@@ -300,10 +300,15 @@ UNION ALL SELECT 'artists', NULL, NULL, count(DISTINCT artist_id), count(DISTINC
 def listening_hourly(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Raw files arrive in three steps, each loaded by its own run; the last run again, and once more from a lost checkpoint."""
     path = scratch(spark, "hourly")
-    log = stored(play_log(spark, sf_dir, with_user=True).withColumn("step", F.pmod(F.xxhash64("sessionId"), F.lit(3))), "log")
-    catalog(spark, sf_dir).write.json(f"{path}/songs")
+    with freed_shuffles(spark):
+        log = play_log(spark, sf_dir, with_user=True).withColumn("step", F.pmod(F.xxhash64("sessionId"), F.lit(3)))
+        log.write.partitionBy("step").parquet(f"{path}/steps")
+    # raw logs are kept compressed, as for listening_load
+    catalog(spark, sf_dir).write.option("compression", "gzip").json(f"{path}/songs")
     for step in range(3):
-        log.where(F.col("step") == step).drop("step").write.json(f"{path}/log/hour={step}")
+        arrived = spark.read.schema(log.schema).parquet(f"{path}/steps").where(F.col("step") == step).drop("step")
+        arrived.write.option("compression", "gzip").json(f"{path}/log/hour={step}")
+        discard(spark, f"{path}/steps/step={step}")
         hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/progress")
     hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/progress")
     hourly.run(spark, f"{path}/log", f"{path}/songs", f"{path}/out", f"{path}/lost")

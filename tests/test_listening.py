@@ -243,8 +243,7 @@ def test_stored_plays_are_left_out_before_they_are_matched(spark, log, catalog,
     assert hourly.table(Store(spark, out), "songplays").count() == 6
 
 
-def test_raw_log_is_written_compressed(spark, tmp_path, monkeypatch):
-    """The load's raw records, by far its largest output, lie compressed, and all of them are loaded."""
+def _play_tables(spark, tmp_path):
     day = datetime.datetime(2020, 1, 1)
     tables = {
         "lineitem": ([(i, i % 3, 1, "N", "F", 0.0, day) for i in range(9)], "l_orderkey long, l_partkey long, l_linenumber int, l_returnflag string, l_linestatus string, l_discount double, l_shipdate timestamp"),
@@ -253,8 +252,32 @@ def test_raw_log_is_written_compressed(spark, tmp_path, monkeypatch):
     }
     for name, (data, schema) in tables.items():
         spark.createDataFrame(data, schema).write.parquet(f"{tmp_path}/{name}.parquet")
+
+
+def test_raw_log_is_written_compressed(spark, tmp_path, monkeypatch):
+    """The load's raw records, by far its largest output, lie compressed, and all of them are loaded."""
+    _play_tables(spark, tmp_path)
     monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
     got = {r["table"]: (r["n"], r["n_matched"]) for r in queries.listening_load(spark, str(tmp_path)).collect()}
     assert got == {"songplays": (9, 9), "songs": (3, 3), "artists": (1, 1), "users": (4, 4), "time": (9, 9)}
     files = [p.name for kind in ("log", "songs") for p in (tmp_path / "listening" / kind).glob("part-*")]
     assert files and all(f.endswith(".json.gz") for f in files)
+
+
+def test_hourly_keeps_no_more_than_its_files_and_tables(spark, tmp_path, monkeypatch):
+    """Raw files lie compressed; what a step stages, and the rows that the raw files are cut from, go when they have served."""
+    _play_tables(spark, tmp_path)
+    monkeypatch.setattr(queries, "scratch", lambda spark, name: f"{tmp_path}/{name}")
+    monkeypatch.setattr(hourly, "scratch", lambda spark, name: f"{tmp_path}/staged/{name}")
+    got = {r["table"]: r["n"] for r in queries.listening_hourly(spark, str(tmp_path)).collect() if r["year"] in (None, 2020)}
+    assert got == {"songplays": 9, "songs": 3, "artists": 1, "users": 4, "time": 9}
+    files = [p.name for kind in ("log", "songs") for p in (tmp_path / "hourly" / kind).rglob("part-*")]
+    assert files and all(f.endswith(".json.gz") for f in files)
+    assert not list((tmp_path / "staged").rglob("part-*")) and not list((tmp_path / "hourly/steps").rglob("part-*"))
+
+
+def test_a_step_that_fails_leaves_no_staged_rows(spark, log, catalog, tmp_path, monkeypatch):
+    monkeypatch.setattr(hourly, "scratch", lambda spark, name: f"{tmp_path}/staged/{name}")
+    with pytest.raises(quality.QualityError):
+        hourly.add_plays(spark, log.replace("paid", "gold"), str(tmp_path / "out"))
+    assert not list((tmp_path / "staged").rglob("part-*"))

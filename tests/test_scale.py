@@ -1,5 +1,7 @@
+import pathlib
 import pytest
 import random
+import time
 
 from pyspark.sql import functions as F
 
@@ -68,3 +70,19 @@ def test_a_cluster_needs_a_shared_folder(monkeypatch):
     Session.conf.clear()
     Context.master = "local[4]"
     assert scale.shared_folder(Session()) == scale.shared_folder(Session())
+
+
+def test_shuffle_files_go_with_their_query(spark):
+    """Inside, a query leaves no shuffle behind; the setting is as before afterwards, and a frame may still run twice."""
+    spark.sparkContext._jvm.System.gc()
+    names = "/".join(["**", "shuffle_*.data"])
+    folder = pathlib.Path(spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()[0].getPath())
+    before = spark.conf.get(scale._FREED, None)
+    with scale.freed_shuffles(spark):
+        known = set(folder.glob(names))
+        counts = spark.range(100_000).groupBy(F.xxhash64("id").alias("h")).count()
+        assert len(counts.collect()) == 100_000 and counts.where("h is null").count() == 0
+        time.sleep(1)
+        assert not set(folder.glob(names)) - known
+        assert len(counts.collect()) == 100_000
+    assert spark.conf.get(scale._FREED, None) == before
